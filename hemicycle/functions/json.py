@@ -30,3 +30,10 @@ def json_array(col: Column | str, path: str) -> Column:
 def json_explode(df: DataFrame, col: str, path: str, alias: str) -> DataFrame:
     """One row per element of a JSON array; rows without elements drop out."""
     return df.withColumn(alias, F.explode(json_array(col, path)))
+
+
+def json_list(col: Column | str, path: str, element: str) -> Column:
+    """Array of structs at ``path``; one object counts as a list of one."""
+    found = F.get_json_object(as_column(col), path)
+    listed = F.when(F.left(found, F.lit(1)) == "{", F.concat(F.lit("["), found, F.lit("]"))).otherwise(found)
+    return F.from_json(listed, f"array<{element}>")

@@ -15,8 +15,12 @@ def flatten(df: DataFrame, *structs: str) -> DataFrame:
 
 
 def unnest(df: DataFrame, col: str, alias: str) -> DataFrame:
-    """One row per array element; rows with an empty or null array drop out."""
-    return df.withColumn(alias, F.explode(col))
+    """One row per array element, in place of the array; rows with an empty or null array drop out.
+
+    Compute what a whole row shares before this step: an expression in the same select as
+    an explode is evaluated again for every element.
+    """
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != col], F.explode(col).alias(alias))
 
 
 def as_list(col: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemicycle.functions.dates import house_date, senate_date
-from hemicycle.functions.json import json_scalar
+from hemicycle.functions.json import json_list, json_scalar
 from hemicycle.functions.votes import PARTY_LETTERS, ballot_group, was_cast
 from hemicycle.operators.majority import sided_with_own
 from hemicycle.operators.nested import or_empty
@@ -73,9 +73,28 @@ def latest_summary(bills: DataFrame) -> DataFrame:
 
 
 def structured_bills(bills: DataFrame) -> DataFrame:
-    """Landing bills with the known JSON parts parsed."""
-    parsed = {c: F.from_json(c, kind) for c, kind in BILL_PARTS.items() if c in bills.columns}
-    return bills.withColumns(parsed)
+    """Landing bills with the known JSON parts parsed.
+
+    Lists that may come as one object (recorded votes, summaries) are read as text first.
+    """
+    loose = {
+        "actions": BILL_PARTS["actions"].replace(f"array<struct<{RECORDED_VOTE}>>", "string"),
+        "summaries": "struct<summary:string>",
+    }
+    present = [c for c in BILL_PARTS if c in bills.columns]
+    out = bills.withColumns({c: F.from_json(c, loose.get(c, BILL_PARTS[c])) for c in present})
+    if "summaries" in present:
+        summary = json_list("summaries.summary", "$", "struct<versionCode:string,actionDate:string,actionDesc:string,"
+                            "updateDate:string,text:string>")
+        out = out.withColumn("summaries", F.struct(summary.alias("summary")))
+    if "actions" in present:
+
+        def with_votes(a: Column) -> Column:
+            votes = json_list(a["recordedVotes"]["recordedVote"], "$", f"struct<{RECORDED_VOTE}>")
+            return a.withField("recordedVotes", F.struct(votes.alias("recordedVote")))
+
+        out = out.withColumn("actions", F.struct(F.transform("actions.item", with_votes).alias("item")))
+    return out
 
 
 def conform_bill(bills: DataFrame) -> DataFrame:

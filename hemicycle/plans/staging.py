@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hemicycle.functions.json import json_array, json_scalar
+from hemicycle.functions.json import json_array, json_list, json_scalar
 from hemicycle.functions.keys import congress_bill_key
 from hemicycle.functions.votes import chamber_name
 from hemicycle.operators.merge import filter_new_votes
-from hemicycle.operators.nested import flatten
+from hemicycle.operators.nested import flatten, unnest
 from hemicycle.sources.schemas import RECORDED_VOTE
 
 
@@ -39,13 +39,14 @@ def stage_terms(members: DataFrame) -> DataFrame:
 
 def stage_senate_ids(ids: DataFrame) -> DataFrame:
     """One row per senator and Senate id."""
-    return ids.select(
+    named = ids.select(
         json_scalar("full_name", "$.first_name").alias("first_name"),
         json_scalar("full_name", "$.last_name").alias("last_name"),
         "state",
         F.col("bioguide").alias("bioguideID"),
-        F.explode("lisid").alias("lisid"),
+        "lisid",
     )
+    return unnest(named, "lisid", "lisid")
 
 
 def recorded_votes(bills: DataFrame, mark: Column | str | DataFrame | None = None) -> DataFrame:
@@ -54,15 +55,13 @@ def recorded_votes(bills: DataFrame, mark: Column | str | DataFrame | None = Non
     An action may name one vote as an object or several as a list.
     """
     number = [c for c in ("number", "billNumber") if c in bills.columns]
-    named = F.get_json_object("action", "$.recordedVotes.recordedVote")
-    listed = F.when(F.left(named, F.lit(1)) == "{", F.concat(F.lit("["), named, F.lit("]"))).otherwise(named)
     votes = (
         bills.select(
-            F.coalesce(*number).alias("bill_number"),
+            F.coalesce(*[F.col(c) for c in number]).alias("bill_number"),
             F.col("type").alias("bill_type"),
             F.explode(json_array("actions", "$.item")).alias("action"),
         )
-        .select("bill_number", "bill_type", F.explode(F.from_json(listed, f"array<struct<{RECORDED_VOTE}>>")).alias("vote"))
+        .select("bill_number", "bill_type", F.explode(json_list("action", "$.recordedVotes.recordedVote", f"struct<{RECORDED_VOTE}>")).alias("vote"))
         .select("bill_number", "bill_type", "vote.*")
         .withColumn("chamber", chamber_name("chamber"))
     )

@@ -52,7 +52,16 @@ def member_lookup(members: DataFrame) -> DataFrame:
 def votes_by_member(
     fact: DataFrame, votes: DataFrame, members: DataFrame, bills: DataFrame, strict: bool = False
 ) -> DataFrame:
-    """Every ballot with its member, its roll call, and whether it went with each majority.
+    """Every ballot with its member, its roll call, and whether it went with each majority."""
+    return ballots_in_context(fact, roll_call_context(fact, votes, bills, strict), members)
+
+
+def ballots_in_context(fact: DataFrame, context: DataFrame, members: DataFrame) -> DataFrame:
+    """:func:`votes_by_member` over a :func:`roll_call_context` made before.
+
+    The context has a row per roll call where the fact has hundreds. Stored as a table of
+    its own (:func:`hemicycle.session.stored`), its measured size decides whether the fact
+    is joined without being moved at all.
 
     The ballots are joined twice only: to the roll-call context, and to the members under
     whichever id the ballot carries (a ballot has exactly one, so one lookup replaces an
@@ -65,7 +74,6 @@ def votes_by_member(
         F.coalesce("bioguideID", "lisid").alias("id"),
         F.col("vote").alias("member_vote"),
     )
-    context = roll_call_context(fact, votes, bills, strict)
     joined = ballots.join(context, ["congress", "session", "chamber", "roll_call_number", "bill_name"])
     named = joined.join(member_lookup(members), ["id_kind", "id"], "left")
     own = {PARTY_LETTERS[letter]: column for letter, column in MAJORITY.items()}

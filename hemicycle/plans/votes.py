@@ -11,6 +11,7 @@ from hemicycle.functions.dates import house_date, senate_date
 from hemicycle.functions.keys import bill_name, vote_bill_key
 from hemicycle.functions.votes import HOUSE_PREFIX, PARTY_LETTERS, PRESENT_WORD, is_nay, is_yea
 from hemicycle.operators.joins import attach_totals
+from hemicycle.operators.nested import unnest
 
 HOUSE_CLASSES = {"yea_or_aye_votes": "yea_total", "nay_or_no_votes": "nay_total", "present_votes": "present_total"}
 SENATE_CLASSES = {"yea_or_aye_votes": "yea", "nay_or_no_votes": "nay", "abstain_votes": "abstain"}
@@ -74,8 +75,9 @@ def dim_house_votes(votes: DataFrame) -> DataFrame:
         whole("vote_totals.totals_by_vote.nay_total").alias("nay_totals"),
         whole("vote_totals.totals_by_vote.present_total").alias("present_totals"),
         whole("vote_totals.totals_by_vote.not_voting_total").alias("not_voting_totals"),
-        F.explode("vote_totals.totals_by_party").alias("by_party"),
+        F.col("vote_totals.totals_by_party").alias("totals"),
     )
+    rows = unnest(rows, "totals", "by_party")
     counted = {c: whole(f"by_party.{c}") for c in ("yea_total", "nay_total", "present_total", "not_voting_total")}
     flat = rows.withColumns({"party": F.col("by_party.party"), **counted}).drop("by_party").distinct()
     detail = flat.drop("party", *counted)
@@ -103,7 +105,7 @@ def dim_senate_votes(votes: DataFrame) -> DataFrame:
     )
     key = ["congress", "session", "vote_number", "bill_key"]
     classed = (
-        docs.select(*key, "chamber", "document_digest", F.explode("member").alias("m"))
+        unnest(docs.select(*key, "chamber", "document_digest", "member"), "member", "m")
         .select(
             *key, "chamber", "document_digest", "m.party", "m.lis_member_id",
             # one word per class, so that Yea and Aye of one member stay one ballot
@@ -157,6 +159,7 @@ def fact_roll_call_vote(house: DataFrame, senate: DataFrame) -> DataFrame:
 
     A House ballot names the member by bioguideID, a Senate ballot by lisid.
     """
+    head = ["bill_key", "roll_call_number", "congress", "session", "chamber", "bill_name"]
     in_house = house.select(
         vote_bill_key().alias("bill_key"),
         whole("vote_metadata.rollcall_num").alias("roll_call_number"),
@@ -164,9 +167,10 @@ def fact_roll_call_vote(house: DataFrame, senate: DataFrame) -> DataFrame:
         whole("left(vote_metadata.session, 1)").alias("session"),
         F.replace("vote_metadata.chamber", F.lit(HOUSE_PREFIX), F.lit("")).alias("chamber"),
         bill_name("bill_type", "bill_number").alias("bill_name"),
-        F.explode("vote_data.recorded_vote").alias("b"),
-    ).select(
-        "bill_key", "roll_call_number", "congress", "session", "chamber", "bill_name",
+        F.col("vote_data.recorded_vote").alias("ballots"),
+    )
+    in_house = unnest(in_house, "ballots", "b").select(
+        *head,
         F.col("b.legislator.name_id").alias("bioguideID"),
         F.lit(None).cast("string").alias("lisid"),
         F.col("b.vote").alias("vote"),
@@ -179,9 +183,10 @@ def fact_roll_call_vote(house: DataFrame, senate: DataFrame) -> DataFrame:
         whole("roll_call_vote.session").alias("session"),
         "chamber",
         bill_name("bill_type", "bill_number").alias("bill_name"),
-        F.explode("roll_call_vote.members.member").alias("b"),
-    ).select(
-        "bill_key", "roll_call_number", "congress", "session", "chamber", "bill_name",
+        F.col("roll_call_vote.members.member").alias("ballots"),
+    )
+    in_senate = unnest(in_senate, "ballots", "b").select(
+        *head,
         F.lit(None).cast("string").alias("bioguideID"),
         F.col("b.lis_member_id").alias("lisid"),
         F.col("b.vote_cast").alias("vote"),

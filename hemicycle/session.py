@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Runtime SQL settings the models rely on; all can be changed on a live session.
 SQL_SETTINGS = {
@@ -33,6 +33,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
         SparkSession.builder.master(f"local[{cores}]")
         .appName("hemicycle")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
@@ -62,3 +63,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; each call gives another one."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table that scans in fewer tasks than there are cores one task per core.
+
+    Worth it before work that multiplies rows. A table of many splits passes unchanged, so
+    the extra exchange moves at most one split per core and never a large table.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back.
+
+    For a small result that a large table is about to be joined with: the planner then
+    knows its true size and broadcasts it only if it fits, and its lineage is cut.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

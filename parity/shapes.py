@@ -208,3 +208,34 @@ def zones(customer: DataFrame) -> DataFrame:
         "concat('N', c_nationkey) AS state_abbr",
         "CAST(c_custkey % 40 AS INT) AS cd",
     )
+
+
+# --- star tables without the detour over documents ---------------------------------------
+
+
+def fact(orders: DataFrame) -> DataFrame:
+    """The ballots of :func:`house_votes` and :func:`senate_votes`, flat."""
+    heads = documents(orders).selectExpr(
+        "md5(concat_ws('-', bt, m)) AS bill_key", "dec + 1 AS roll_call_number", "cong AS congress",
+        "CASE WHEN m <= 6 THEN 1L ELSE 2L END AS session",
+        "CASE WHEN st = 'O' THEN 'Senate' ELSE 'House of Representatives' END AS chamber",
+        "concat(bt, m) AS bill_name", "k", "c", "array(0, 1, 2) AS seats",
+    )
+    return heads.selectExpr("*", "explode(seats) AS i").selectExpr(
+        "bill_key", "roll_call_number", "congress", "session", "chamber", "bill_name",
+        "CASE WHEN chamber <> 'Senate' THEN concat('C', c + i) END AS bioguideID",
+        "CASE WHEN chamber = 'Senate' THEN concat('S', c + i) END AS lisid",
+        f"{VOTE.format(n='k + 7 * i')} AS vote",
+        f"{PARTY.format(x='c + i')} AS party",
+    )
+
+
+def roll_calls(orders: DataFrame) -> DataFrame:
+    """Roll calls as :func:`hemicycle.plans.votes.dim_votes` gives them, without totals."""
+    distinct = documents(orders).select("bt", "m", "cong", "dec", "vd", (F.col("st") == "O").alias("senate")).distinct()
+    return distinct.selectExpr(
+        "dec + 1 AS roll_call_number", "md5(concat_ws('-', bt, m)) AS bill_key", "date_format(vd, 'yyyy-MM-dd') AS vote_date",
+        "cong AS congress", "CASE WHEN m <= 6 THEN 1L ELSE 2L END AS session", "bt AS bill_type",
+        "CASE WHEN senate THEN 'Senate' ELSE 'House of Representatives' END AS chamber", "concat(bt, m) AS bill_name",
+        "concat('On ', bt) AS question", "CASE WHEN m % 2 = 0 THEN 'Passed' ELSE 'Failed' END AS result",
+    )

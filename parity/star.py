@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from hemicycle.operators.majority import party_majority
 from hemicycle.operators.terms import term_islands, terms_condensed
 from hemicycle.plans import bills as b
 from hemicycle.plans import extras, members as mem, reports, staging, views, votes as v
+from hemicycle.session import stored
 from parity import shapes
 from parity.registry import Tables, query
 from parity.star_sql import ORDINAL, senate, star
@@ -20,58 +23,85 @@ class Star:
 
     def __init__(self, t: Tables):
         self.t = t
-        self.house = staging.stage_house_votes(shapes.house_votes(t.orders))
-        self.senate = staging.stage_senate_votes(shapes.senate_votes(t.orders))
-        self.fact = v.fact_roll_call_vote(self.house, self.senate)
-        self.staged_bills = staging.stage_bills(shapes.bills(t.orders))
-        self.landed_members = shapes.members(t.customer)
-        self.staged_terms = staging.stage_terms(self.landed_members)
-
-    @property
+
+    @cached_property
+    def house(self) -> DataFrame:
+        return staging.stage_house_votes(shapes.house_votes(self.t.orders))
+
+    @cached_property
+    def senate(self) -> DataFrame:
+        return staging.stage_senate_votes(shapes.senate_votes(self.t.orders))
+
+    @cached_property
     def votes(self) -> DataFrame:
         return v.dim_votes(v.dim_house_votes(self.house), v.dim_senate_votes(self.senate))
 
-    @property
+    @cached_property
+    def staged_bills(self) -> DataFrame:
+        return staging.stage_bills(shapes.bills(self.t.orders))
+
+    @cached_property
     def bills(self) -> DataFrame:
         return b.dim_bills(self.staged_bills)
 
-    @property
+    @cached_property
     def sponsors(self) -> DataFrame:
         return b.dim_sponsors(self.staged_bills)
 
-    @property
+    @cached_property
+    def landed_members(self) -> DataFrame:
+        return shapes.members(self.t.customer)
+
+    @cached_property
+    def staged_terms(self) -> DataFrame:
+        return staging.stage_terms(self.landed_members)
+
+    @cached_property
     def terms(self) -> DataFrame:
         return mem.dim_terms(self.staged_terms)
 
-    @property
+    @cached_property
     def party_history(self) -> DataFrame:
         return mem.dim_party_history(self.landed_members)
 
-    @property
+    @cached_property
     def senate_ids(self) -> DataFrame:
         return staging.stage_senate_ids(shapes.senate_ids(self.t.customer))
 
-    @property
+    @cached_property
     def members(self) -> DataFrame:
         return mem.dim_members(
             self.landed_members, self.staged_terms, self.senate_ids, shapes.overrides(self.t.supplier), self.party_history
         )
 
-    @property
+    @cached_property
     def districts(self) -> DataFrame:
         return mem.dim_congressional_districts(shapes.zones(self.t.customer), shapes.states(self.t.nation))
 
-    @property
+    # The views read stored tables, as they do in a regular run: the fact and the roll calls
+    # straight from the supplied tables, the small dimensions written once.
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return shapes.fact(self.t.orders)
+
+    @cached_property
+    def dim_members(self) -> DataFrame:
+        return stored(self.members, "dim_members")
+
+    @cached_property
     def votes_by_member(self) -> DataFrame:
-        return views.votes_by_member(self.fact, self.votes, self.members, self.bills)
+        rolls = shapes.roll_calls(self.t.orders)
+        context = stored(views.roll_call_context(self.fact, rolls, self.bills), "roll_call_context")
+        return views.ballots_in_context(self.fact, context, self.dim_members)
 
-    @property
+    @cached_property
     def sponsored(self) -> DataFrame:
-        return views.sponsored_bills_by_member(self.sponsors, self.bills, self.members)
+        return views.sponsored_bills_by_member(self.sponsors, stored(self.bills, "dim_bills"), self.dim_members)
 
-    @property
+    @cached_property
     def voting(self) -> DataFrame:
-        return views.voting_members(self.members, self.terms, self.districts, self.fact)
+        return views.voting_members(self.dim_members, self.terms, self.districts, self.fact)
 
 
 def text_dates(df: DataFrame, *cols: str) -> DataFrame:
@@ -83,7 +113,8 @@ def text_dates(df: DataFrame, *cols: str) -> DataFrame:
 
 @query("fact_roll_call_vote", star("SELECT * FROM fact", "fact"))
 def _(t: Tables) -> DataFrame:
-    return Star(t).fact
+    s = Star(t)
+    return v.fact_roll_call_vote(s.house, s.senate)
 
 
 @query("dim_house_votes", star("SELECT * FROM house", "house"))
