@@ -15,8 +15,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot roll calls and members are split at run time instead of by a fixed salt.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Landing files are many and small: pack them, and keep scan tasks at 128 MB.
+    # Landing files are many and small: pack about a thousand into a scan task of 128 MB.
     "spark.sql.files.maxPartitionBytes": "134217728",
+    "spark.sql.files.openCostInBytes": "131072",
 }
 
 

@@ -18,13 +18,18 @@ MEMBERS, SENATE_IDS = "members", "senate_ids"
 _ROLL_TAGS = {"rollcall-vote": ("house", "rollcall_vote", HOUSE), "roll_call_vote": ("senate", "roll_call_vote", SENATE)}
 
 
-def _xml(spark: SparkSession, path: str | Sequence[str], row_tag: str, schema, glob: str) -> DataFrame:
-    """XML rows; attributes keep their own names and element text is called ``text``."""
+def _xml(spark: SparkSession, path: str | Sequence[str], row_tag: str, schema, glob: str, bundled: bool) -> DataFrame:
+    """XML rows; attributes keep their own names and element text is called ``text``.
+
+    A file holds one document, or any number of them one after another if ``bundled``;
+    bundled files may be split between tasks.
+    """
     return (
         spark.read.format("xml")
         .option("rowTag", row_tag)
         .option("attributePrefix", "")
         .option("valueTag", "text")
+        .option("multiLine", str(not bundled).lower())
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
         .schema(schema)
@@ -32,9 +37,15 @@ def _xml(spark: SparkSession, path: str | Sequence[str], row_tag: str, schema, g
     )
 
 
-def read_bills_xml(spark: SparkSession, path: str | Sequence[str], glob: str = "*.xml") -> DataFrame:
-    """Every bill of a tree of bill files, parts as structs; an only child is a list of one."""
-    return _xml(spark, path, "bill", schemas.bill_xml_schema(), glob)
+def read_bills_xml(
+    spark: SparkSession, path: str | Sequence[str], glob: str = "*.xml", bundled: bool = False
+) -> DataFrame:
+    """Every bill of a tree of bill files, parts as structs; an only child is a list of one.
+
+    Bundled files must hold bare ``bill`` elements: when Spark splits such files it takes
+    the ``billStatus`` tag around them for the row tag.
+    """
+    return _xml(spark, path, "bill", schemas.bill_xml_schema(), glob, bundled)
 
 
 def bills_as_json_text(bills: DataFrame) -> DataFrame:
@@ -51,6 +62,7 @@ def bills_as_json_text(bills: DataFrame) -> DataFrame:
 def read_roll_calls_xml(
     spark: SparkSession, path: str | Sequence[str], row_tag: str, references: DataFrame | None = None,
     glob: str = "*.xml",
+    bundled: bool = False,
 ) -> DataFrame:
     """Roll calls of one chamber with the bill they belong to.
 
@@ -59,7 +71,7 @@ def read_roll_calls_xml(
     vote url ends in its file name. Without it the bill columns are null.
     """
     kind, column, chamber = _ROLL_TAGS[row_tag]
-    raw = _xml(spark, path, row_tag, schemas.roll_call_xml_schema(kind), glob)
+    raw = _xml(spark, path, row_tag, schemas.roll_call_xml_schema(kind), glob, bundled)
     packed = clean_names(raw.select(F.struct(*[F.col(f"`{c}`") for c in raw.columns]).alias(column), "_metadata"))
     named = packed.select(
         column, F.lit(chamber).alias("chamber"), F.col("_metadata.file_name").alias("__file")
@@ -81,9 +93,11 @@ def read_roll_calls_xml(
     return named.join(known, F.col("__file") == F.col("__ref")).select(column, "chamber", "bill_number", "bill_type")
 
 
-def read_senate_ids_xml(spark: SparkSession, path: str | Sequence[str], glob: str = "*.xml") -> DataFrame:
+def read_senate_ids_xml(
+    spark: SparkSession, path: str | Sequence[str], glob: str = "*.xml", bundled: bool = False
+) -> DataFrame:
     """Senator id list; a missing id is a list with one empty text, names are JSON text."""
-    raw = clean_names(_xml(spark, path, "senator", schemas.senator_xml_schema(), glob))
+    raw = clean_names(_xml(spark, path, "senator", schemas.senator_xml_schema(), glob, bundled))
     ids = F.when(F.size(F.coalesce("lisid", F.array())) > 0, F.col("lisid")).otherwise(F.array(F.lit("")))
     return raw.withColumns(
         {"full_name": F.to_json("full_name"), "publication_name": F.to_json("publication_name"), "lisid": ids}
