@@ -104,13 +104,14 @@ def read_senate_ids_xml(
     )
 
 
-def read_ndjson(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """All runs of one landing folder, with the declared schema."""
+def read_ndjson(spark: SparkSession, root: str, kind: str, run_date: str | None = None) -> DataFrame:
+    """One landing folder with the declared schema: all runs, or the one given."""
+    folder = f"{root.rstrip('/')}/{kind}" + (f"/run_date={run_date}" if run_date else "")
     return (
         spark.read.schema(schemas.landing_schema(kind))
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
-        .json(f"{root.rstrip('/')}/{kind}")
+        .json(folder)
     )
 
 
