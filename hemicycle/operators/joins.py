@@ -58,5 +58,9 @@ def override(df: DataFrame, overrides: DataFrame, key: str, col: str) -> DataFra
 
 
 def attach_totals(detail: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join a frame with an aggregate of itself on the whole key, once per distinct row."""
-    return detail.join(totals, list(keys), "inner").distinct()
+    """Each distinct row of ``detail`` with the totals of its key; rows with a null key drop out.
+
+    ``totals`` is an aggregate of the same rows, unique on the key, so making the detail
+    distinct before the join gives the same rows as after it, from a smaller join.
+    """
+    return detail.distinct().join(totals, list(keys), "inner")

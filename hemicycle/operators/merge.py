@@ -97,8 +97,10 @@ def upsert_table(
     if table_exists(spark, path):
         target = spark.read.parquet(path)
         if partition_by:
-            touched = source.select(F.col(partition_by).alias("__p")).distinct()
-            target = target.join(touched, F.col(partition_by).eqNullSafe(F.col("__p")), "left_semi")
+            # At most one value per folder comes to the driver; the filter prunes folders.
+            touched = [r[0] for r in source.select(partition_by).distinct().collect()]
+            known = F.col(partition_by).isin([v for v in touched if v is not None])
+            target = target.filter(known | F.col(partition_by).isNull() if None in touched else known)
         rows = merge_upsert(target, source, keys, exclude, order).checkpoint()
     else:
         rows = unique_source(source, keys, order)

@@ -10,6 +10,11 @@ from hemicycle.operators.joins import in_either
 from hemicycle.operators.majority import majority_columns, sided_with, sided_with_own
 
 MAJORITY = {"D": "dem_majority_vote", "R": "rep_majority_vote", "I": "ind_majority_vote"}
+#: Columns of a roll call that a ballot shows.
+SHOWN = [
+    "chamber", "congress", "roll_call_number", "bill_name", "policyArea", "title", "question", "url", "vote_date",
+    "result",
+]
 MAJORITY_KEY = ["bill_key", "roll_call_number", "congress"]
 
 
@@ -28,12 +33,9 @@ def roll_call_context(
         "congress", "session", "chamber", "roll_call_number", "bill_name", "bill_key",
         F.expr("try_cast(vote_date as date)").alias("vote_date"), "result", "question",
     ).distinct()
-    return (
-        rolls.join(majority, key, "left")
-        .join(named, ["bill_name", "congress"], "left")
-        .drop("bill_key")
-        .distinct()
-    )
+    joined = rolls.join(majority, key, "left").join(named, ["bill_name", "congress"], "left").drop("bill_key").distinct()
+    # The digest names what a ballot shows of its roll call; the session is not shown.
+    return joined.withColumn("shown_id", F.sha2(F.to_json(F.struct(*SHOWN, *MAJORITY.values())), 256))
 
 
 def member_lookup(members: DataFrame) -> DataFrame:
@@ -63,28 +65,37 @@ def ballots_in_context(fact: DataFrame, context: DataFrame, members: DataFrame)
     its own (:func:`hemicycle.session.stored`), its measured size decides whether the fact
     is joined without being moved at all.
 
-    The ballots are joined twice only: to the roll-call context, and to the members under
+    They meet two tables only: the roll-call context, and the members under
     whichever id the ballot carries (a ballot has exactly one, so one lookup replaces an
     outer join per id and no pile of null ids gathers in one task). A ballot of an unknown
     member stays, without name; one of an unknown roll call does not.
+
+    Equal rows are removed while a ballot is a member, a vote and the digest of what it
+    shows of its roll call. The texts are attached after that exchange, not sent through it.
     """
+    key = ["congress", "session", "chamber", "roll_call_number", "bill_name"]
     ballots = fact.select(
-        "congress", "session", "chamber", "roll_call_number", "bill_name",
+        *key,
         F.when(F.col("bioguideID").isNotNull(), "bioguideID").otherwise("lisid").alias("id_kind"),
         F.coalesce("bioguideID", "lisid").alias("id"),
         F.col("vote").alias("member_vote"),
     )
-    joined = ballots.join(context, ["congress", "session", "chamber", "roll_call_number", "bill_name"])
-    named = joined.join(member_lookup(members), ["id_kind", "id"], "left")
+    found = (
+        ballots.join(context.select(*key, "shown_id"), key)
+        .join(member_lookup(members), ["id_kind", "id"], "left")
+        .select("name", F.col("member").alias("bioguideID"), "partyName", "member_vote", "shown_id")
+        .distinct()
+    )
     own = {PARTY_LETTERS[letter]: column for letter, column in MAJORITY.items()}
-    return named.select(
-        "name", "chamber", "congress", "roll_call_number", F.col("member").alias("bioguideID"), "partyName",
+    shown = context.select("shown_id", *SHOWN, *MAJORITY.values()).distinct()
+    return found.join(shown, "shown_id").select(
+        "name", "chamber", "congress", "roll_call_number", "bioguideID", "partyName",
         "member_vote", "bill_name", "policyArea", "title", "question", "url", "vote_date", "result",
         "dem_majority_vote", "rep_majority_vote",
         sided_with("dem_majority_vote", "member_vote").alias("voted_with_dem_majority"),
         sided_with("rep_majority_vote", "member_vote").alias("voted_with_rep_majority"),
         sided_with_own("partyName", "member_vote", own).alias("voted_with_party_majority"),
-    ).distinct()
+    )
 
 
 def sponsored_bills_by_member(sponsors: DataFrame, bills: DataFrame, members: DataFrame) -> DataFrame:
@@ -107,9 +118,8 @@ def voting_members(members: DataFrame, terms: DataFrame, districts: DataFrame, f
 
     The district number is kept if it occurs in any state, else it is null.
     """
-    voters = in_either(
-        members, [("bioguideID", fact.select("bioguideID")), ("lisid", fact.select("lisid"))]
-    ).select("bioguideID", "invertedOrderName", "lastName", "imageURL", "mostRecentParty")
+    ids = fact.select("bioguideID", "lisid").distinct()  # one pass over the fact serves both lists
+    voters = in_either(members, [("bioguideID", ids.select("bioguideID")), ("lisid", ids.select("lisid"))]).select("bioguideID", "invertedOrderName", "lastName", "imageURL", "mostRecentParty")
     known = districts.select("congressional_district").distinct()
     served = terms.select("bioguideID", "stateCode", "stateName", "chamber", "congress", "district").distinct()
     rows = voters.join(served, "bioguideID").join(

@@ -114,7 +114,7 @@ def dim_senate_votes(votes: DataFrame) -> DataFrame:
         )
         .distinct()
     )
-    totals = party_totals_senate(classed, [*key, "chamber"]).drop("chamber")
+    totals = party_totals_senate(classed, [*key, "chamber"]).drop("chamber").distinct()
     detail = docs.filter(F.size("member") > 0).select(
         *key,
         senate_date("vote_date").alias("vote_date"),
@@ -128,7 +128,7 @@ def dim_senate_votes(votes: DataFrame) -> DataFrame:
         F.coalesce(whole("count.present"), F.lit(0)).alias("present_totals"),
         F.coalesce(whole("count.absent"), F.lit(0)).alias("not_voting_totals"),
     )
-    joined = attach_totals(detail.distinct(), totals, key)
+    joined = attach_totals(detail, totals, key)
     return joined.select(
         whole("vote_number").alias("roll_call_number"),
         "bill_key",
@@ -145,7 +145,7 @@ def dim_senate_votes(votes: DataFrame) -> DataFrame:
         "present_totals",
         "not_voting_totals",
         *[f"{p}_{c}" for c in SENATE_CLASSES for p in PARTY_LETTERS],
-    )
+    ).distinct()
 
 
 def dim_votes(house: DataFrame, senate: DataFrame) -> DataFrame:
