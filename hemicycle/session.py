@@ -67,13 +67,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a table that scans in fewer tasks than there are cores one task per core.
+    """Give a small table one task per core before work that multiplies its rows.
 
-    Worth it before work that multiplies rows. A table of many splits passes unchanged, so
-    the extra exchange moves at most one split per core and never a large table.
+    Spark cuts a small file into about one split per core, but a Parquet row group is read
+    by one task whatever the splits. A table of more than two splits per core passes
+    unchanged: there the splits are full-sized, and no exchange is added.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() > 2 * cores else df.repartition(cores)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:

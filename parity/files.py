@@ -153,7 +153,7 @@ def _(t: Tables) -> DataFrame:
     rows = t.orders.select("o_orderkey", "o_orderstatus")
     first, second = rows.filter("o_orderstatus = 'F'"), rows.filter("o_orderstatus <> 'F'")
     for df, day in ((rows, "2024-01-01"), (second, "2024-01-02"), (first, "2024-01-01")):
-        sinks.write_run(df.select("o_orderkey"), path, day)
+        sinks.write_run(df.select("o_orderkey"), path, day, 100_000)
     back = t.spark.read.schema("o_orderkey bigint, run_date string").json(path)
     return back
 

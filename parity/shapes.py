@@ -104,12 +104,20 @@ def senate_votes(orders: DataFrame) -> DataFrame:
 
 def bills(orders: DataFrame) -> DataFrame:
     """Bill landing rows with JSON text parts, one version per order."""
-    action = '{"actionDate":"%s","text":"Roll call","type":"Floor","recordedVotes":{"recordedVote":%s}}'
-    vote = '{"rollNumber":"%s","url":"https://votes.example/%s.xml","chamber":"%s","congress":"%s","date":"%s","sessionNumber":"1"}'
-    one = f"format_string('{vote}', k, k, CASE WHEN st = 'O' THEN 'Senate' ELSE 'House' END, cong, stamp)"
-    two = f"format_string('[{vote},{vote}]', k, k, 'House', cong, stamp, k, k, 'Senate', cong, stamp)"
-    plain = '{"actionDate":"%s","text":"Introduced","type":"Intro"}'
-    summary = '{"actionDate":"%s","text":"%s"}'
+    def vote(chamber: str) -> str:
+        return (
+            "'{\"rollNumber\":\"', k, '\",\"url\":\"https://votes.example/', k, '.xml\",\"chamber\":\"', " + chamber
+            + ", '\",\"congress\":\"', cong, '\",\"date\":\"', stamp, '\",\"sessionNumber\":\"1\"}'"
+        )
+
+    def action(votes: str) -> str:
+        return (
+            "',{\"actionDate\":\"', day, '\",\"text\":\"Roll call\",\"type\":\"Floor\",\"recordedVotes\":{\"recordedVote\":', "
+            + votes + ", '}}'"
+        )
+
+    one = vote("CASE WHEN st = 'O' THEN 'Senate' ELSE 'House' END")
+    two = "'[', " + vote("'House'") + ", ',', " + vote("'Senate'") + ", ']'"
     stamped = documents(orders).withColumn("day", F.date_format("d", "yyyy-MM-dd")).withColumn(
         "stamp", F.concat("day", F.lit("T12:00:00Z"))
     )
@@ -129,10 +137,10 @@ def bills(orders: DataFrame) -> DataFrame:
         "{\"systemCode\":\"s0\",\"name\":\"Committee ', bt, '\",\"chamber\":\"Senate\"}]}') AS committees",
         "CASE WHEN st <> 'F' THEN concat('{\"legislativeSubjects\":{\"item\":[{\"name\":\"Subject ', y, '\"},{\"name\":"
         "\"Subject ', c, '\"}]}}') END AS subjects",
-        f"""concat('{{"item":[', format_string('{plain}', day), ',', format_string('{action}', day, {one}), ',',
-            format_string('{action}', day, {two}), ']}}') AS actions""",
-        f"""concat('{{"summary":[{{"actionDate":"', day, '"}},', format_string('{summary}', day, concat('Text of ', k)), ',',
-            format_string('{summary}', '1990-01-01', 'Old'), ']}}') AS summaries""",
+        "concat('{\"item\":[{\"actionDate\":\"', day, '\",\"text\":\"Introduced\",\"type\":\"Intro\"}', "
+        f"{action(one)}, {action(two)}, ']}}') AS actions",
+        """concat('{"summary":[{"actionDate":"', day, '"},{"actionDate":"', day, '","text":"Text of ', k,
+            '"},{"actionDate":"1990-01-01","text":"Old"}]}') AS summaries""",
         """concat('{"actionDate":"', day, '","text":"Latest"}') AS latestAction""",
     )
 

@@ -345,7 +345,7 @@ def _lead(p: str) -> str:
 )
 def _(t: Tables) -> DataFrame:
     s = Star(t)
-    return extras.party_loyalty(s.fact, s.votes, s.members)
+    return extras.party_loyalty(s.fact, stored(s.votes, "dim_votes"), s.dim_members)
 
 
 @query(
