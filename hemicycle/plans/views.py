@@ -83,12 +83,13 @@ def ballots_in_context(fact: DataFrame, context: DataFrame, members: DataFrame)
     found = (
         ballots.join(context.select(*key, "shown_id"), key)
         .join(member_lookup(members), ["id_kind", "id"], "left")
-        .select("name", F.col("member").alias("bioguideID"), "partyName", "member_vote", "shown_id")
+        .select("congress", "chamber", "name", F.col("member").alias("bioguideID"), "partyName", "member_vote", "shown_id")
         .distinct()
     )
     own = {PARTY_LETTERS[letter]: column for letter, column in MAJORITY.items()}
     shown = context.select("shown_id", *SHOWN, *MAJORITY.values()).distinct()
-    return found.join(shown, "shown_id").select(
+    # congress and chamber are join keys so that a filter on either reaches the fact's scan
+    return found.join(shown, ["congress", "chamber", "shown_id"]).select(
         "name", "chamber", "congress", "roll_call_number", "bioguideID", "partyName",
         "member_vote", "bill_name", "policyArea", "title", "question", "url", "vote_date", "result",
         "dem_majority_vote", "rep_majority_vote",
