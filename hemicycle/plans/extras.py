@@ -62,8 +62,8 @@ def party_loyalty(fact: DataFrame, votes: DataFrame, members: DataFrame) -> Data
 def latest_text(summaries: Column) -> Column:
     """Text of the latest summary that has one, shortened; of equal dates the first listed."""
     dated = F.filter(summaries, lambda s: s["text"].isNotNull())
-    latest = F.array_max(F.transform(dated, lambda s: F.to_date(s["actionDate"])))
-    at_latest = F.filter(dated, lambda s: F.to_date(s["actionDate"]) == latest)
+    latest = F.array_max(F.transform(dated, lambda s: F.try_to_date(s["actionDate"])))
+    at_latest = F.filter(dated, lambda s: F.try_to_date(s["actionDate"]) == latest)
     return F.left(F.try_element_at(at_latest, F.lit(1))["text"], F.lit(SUMMARY_LENGTH))
 
 
