@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import substrings
+from hemicycle.llm import bpe, minhash, mixing, sharding, substrings, token_counts
 from hemicycle.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +24,44 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Repeated windows of 35 words removed from every document."""
     cut = substrings.remove_repeats(table(spark, folder, "documents"))
     return cut.select("doc.doc_id", "n_words", "n_removed", F.col("sha256").alias("kept_sha256"))
+
+
+@query
+def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate components of the documents."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op8_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 16 shards of equal row counts along a Hilbert curve."""
+    return sharding.shard_documents(table(spark, folder, "documents"))
+
+
+@query
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """The words that a mix of the sources by weight takes of every document."""
+    mixed = mixing.mixed_rows(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL["op9_mixing"] = mixing.MIXED_SQL
+
+
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer's file; the same on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document."""
+    return token_counts.count_tokens(table(spark, folder, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op7_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    return bpe.encoded(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
