@@ -6,7 +6,7 @@ similarity 0.75 with probability (1 - 0.75^4)^40 = 2.5e-7. Links are confirmed o
 
 Equal sets are one class; only classes are compared. Within a band bucket, every class is compared
 with the first one, never all with all. Classes of one bucket that this leaves in different components
-meet once more, but only where they share one of their rarest shingles, which loses no link.
+meet once more in blocks, but only where they hang together by their rarest shingles, which loses no link.
 """
 
 from __future__ import annotations
@@ -27,6 +27,9 @@ SHINGLE = 5
 PERCENT = 75
 BANDS = 40
 ROWS = 4
+#: Sets of a block, where blocks are compared with each other.
+BLOCK = 256
+
 _CACHE = WordHashes()
 _STEP = 2048
 
@@ -150,9 +153,8 @@ def links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame
     apart = stored(_apart(members.select("band", "rep"), named), "minhash_apart")
     if apart.isEmpty():
         return named
-    pairs = stored(rare_pairs(sets, apart, percent).join(pairs, ["a", "b"], "left_anti"), "minhash_pairs")
-    edges = edges.union(confirmed(sets.withColumn("pivot", F.lit(True)), pairs, percent))
-    return components(edges, "minhash_components")
+    found = block_links(sets, apart, rare_shingles(sets, apart, percent), percent)
+    return components(edges.union(found), "minhash_components")
 
 
 def _apart(members: DataFrame, named: DataFrame) -> DataFrame:
@@ -164,8 +166,8 @@ def _apart(members: DataFrame, named: DataFrame) -> DataFrame:
     return labelled.join(several, "band").select(F.col("rep").alias("id"), "component").distinct()
 
 
-def rare_pairs(sets: DataFrame, apart: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs of different components that can still be similar enough: ``(a, b)`` with a < b.
+def rare_shingles(sets: DataFrame, apart: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rarest shingles of each set, of which it shares one with any partner in another component.
 
     Such a pair shares only shingles that occur in several components. Sets that share ``percent`` of
     their union share one of the first n - ceil(n * percent / 100) + 1 shingles of each in any common
@@ -176,13 +178,81 @@ def rare_pairs(sets: DataFrame, apart: DataFrame, percent: int = PERCENT) -> Dat
     rows = flat.join(stored(held.filter("low < high").select("s", "df"), "minhash_frequencies"), "s")
     mine = Window.partitionBy("id")
     rows = rows.withColumn("place", F.row_number().over(mine.orderBy("df", "s"))).withColumn("shared", F.count("*").over(mine))
+    # The intersection is no larger than what is shared, and the union no smaller than the set.
+    rows = rows.filter(100 * F.col("shared") >= percent * F.col("n"))
     places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("shared"))
-    rare = stored(rows.filter(F.col("place") <= places).select("s", "id", "component", "n", "shared"), "minhash_rare")
-    x, y = rare.alias("x"), rare.alias("y")
-    common = F.least("x.shared", "y.shared")  # the intersection is no larger
-    likely = (100 + percent) * common >= percent * (F.col("x.n") + F.col("y.n"))
-    meet = (F.col("x.s") == F.col("y.s")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-    return x.join(y, meet & likely).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    return stored(rows.filter(F.col("place") <= places).select("s", "id", "component", "n", "shared"), "minhash_rare")
+
+
+def block_links(sets: DataFrame, apart: DataFrame, rare: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links between sets of different components, found by comparing blocks of sets: ``(a, b)``.
+
+    Sets that hang together by rare shingles form a cluster. A cluster is dealt into blocks of about
+    ``BLOCK`` sets and every two blocks meet in one task, which counts all intersections by a matrix
+    product and gives the links only.
+    """
+    first = stored(rare.groupBy("s").agg(F.min("id").alias("pivot")), "minhash_first")
+    stars = rare.join(first, "s").select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    clusters = components(stars, "minhash_clusters").withColumnRenamed("component", "cluster")
+    counts = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    dealt = clusters.join(stored(counts, "minhash_blocks"), "cluster").withColumn("block", mine)
+    dealt = dealt.join(apart, "id").select("id", "cluster", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("id", "cluster", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    key = ["cluster", "low", "high"]
+    rows = stored(dealt, "minhash_dealt").join(sets.select("id", "shingles"), "id").repartition(*key).sortWithinPartitions(*key)
+    return rows.select(*key, "id", "component", "block", "shingles").mapInArrow(_compare(percent), "a long, b long")
+
+
+def _compare(percent: int):
+    def linked(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        low, high = rows[0][1], rows[0][2]
+        left = [r for r in rows if r[5] == low]
+        right = left if low == high else [r for r in rows if r[5] == high]
+        group = left if low == high else left + right
+        sizes = np.array([len(r[6]) for r in group])
+        _, code, df = np.unique(np.concatenate([r[6] for r in group]), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(group)), sizes)
+        keep = df[code] > 1
+        code, owner = code[keep], owner[keep]
+        _, code = np.unique(code, return_inverse=True)
+        order = np.argsort(code, kind="stable")
+        code, owner = code[order], owner[order]
+        n_left = len(left)
+        here = np.zeros((n_left, len(right)), np.float32)
+        for begin in range(0, int(code[-1]) + 1 if len(code) else 0, _STEP):
+            span = slice(*np.searchsorted(code, [begin, begin + _STEP]))
+            dense = np.zeros((len(group), _STEP), np.float32)
+            dense[owner[span], code[span] - begin] = 1
+            here += dense[:n_left] @ (dense if low == high else dense[n_left:]).T
+        n = sizes.astype(np.float64)
+        n_right = n if low == high else n[n_left:]
+        union = n[:n_left, None] + n_right[None, :] - here
+        parts_left, parts_right = (np.array([r[4] for r in side]) for side in (left, right))
+        ids_left, ids_right = (np.array([r[3] for r in side]) for side in (left, right))
+        apart = (parts_left[:, None] != parts_right[None, :]) & (ids_left[:, None] != ids_right[None, :])
+        i, j = np.nonzero(apart & (100.0 * here >= percent * union))
+        return ids_left[i], ids_right[j]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []
+
+        def give() -> pa.RecordBatch:
+            a, b = linked(waiting) if waiting else ([], [])
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            shingles = batch.column("shingles")
+            ends, values = shingles.offsets.to_numpy(), shingles.values.to_numpy(zero_copy_only=False)
+            plain = zip(*(batch.column(c).to_pylist() for c in ("cluster", "low", "high", "id", "component", "block")), strict=True)
+            for i, row in enumerate(plain):
+                if waiting and waiting[-1][:3] != row[:3]:
+                    yield give()
+                    waiting.clear()
+                waiting.append((*row, values[ends[i] : ends[i + 1]]))
+        yield give()
+
+    return run
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
