@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import bpe, minhash, mixing, sharding, substrings, token_counts
+from hemicycle.llm import bpe, minhash, mixing, quality, sharding, substrings, token_counts
 from hemicycle.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,9 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op7_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded again."""
     return bpe.encoded(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality.scored(table(spark, folder, "documents"), spark.read.parquet(f"{folder}/labels.parquet"))
