@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import bpe, minhash, mixing, quality, sharding, substrings, token_counts
+from hemicycle.llm import bpe, fingerprints, html_text, minhash, mixing, nearest, quality, sharding, substrings, token_counts
 from hemicycle.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,33 @@ def op7_bpe_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality score of every document."""
     return quality.scored(table(spark, folder, "documents"), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query
+def op4_top_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best other vectors of every fiftieth one."""
+    return nearest.top_scores(table(spark, folder, "embeddings"))
+
+
+@query
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extracted(table(spark, folder, "pages"))
+
+
+SQL["op4_top_scores"] = """
+WITH usable AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+
+@query
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
