@@ -1,0 +1,241 @@
+"""Every operator against a plain version, and on nulls, empty texts, repeated rows and empty tables."""
+
+import collections
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from hemicycle.llm import bpe, fingerprints, html_text, minhash, mixing, nearest, quality, queries, sharding, substrings, token_counts
+from hemicycle.llm.common import components
+from parity.compare import connect, differences
+
+FOLDER = "/root/testdata/sf0.001"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, key string, rank int, bands string"
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r.doc_id: r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+
+
+def found(spark, name):
+    return {r[0]: r for r in driver.queries()[name](spark, FOLDER).collect()}
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls in every column, empty and long texts, ties, repeated rows, and columns with the operators' names."""
+    long = " ".join(f"w{i % 977}" for i in range(20_000))
+    rows = [
+        (1, None, None, None, None), (2, "", "en", "a", 0), (3, " \n\t ", "en", "a", 3), (4, "One two", "en", "a", 7),
+        (5, "one TWO", "en", "b", 7), (6, long, "de", None, len(long)), (7, long, None, "b", len(long)),
+        (8, "x " * 200, "en", "b", 400), (8, "x " * 200, "en", "b", 400), (None, "one two", "fr", "a", 7), (None, None, None, None, None),
+    ]
+    return spark.createDataFrame([(*r, "k", 1, "b") for r in rows], DOCS)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def test_near_duplicates(spark, texts):
+    sets = {}
+    for i, t in texts.items():
+        w = t.encode().lower().split()
+        sets[i] = frozenset(tuple(w[j : j + 5]) for j in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    label = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if i < j and sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    got = found(spark, "op1_minhash_near_dedup")
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), label[i], label[i] == i) for i in sets}
+
+
+def test_blocks_find_every_link_that_stars_leave(spark, monkeypatch):
+    """A chain: each text is alike to the next only; blocks of two sets."""
+    monkeypatch.setattr(minhash, "BLOCK", 2)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[12 * i : 12 * i + 150])) for i in range(20)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {0} and sum(r.kept for r in got) == 1
+
+
+def test_substrings(spark, texts):
+    seen = collections.Counter()
+    words = {i: t.encode().split() for i, t in texts.items()}
+    for w in words.values():
+        seen.update(tuple(w[j : j + 35]) for j in range(len(w) - 34))
+    got = found(spark, "op2_substring_dedup")
+    for i, w in words.items():
+        cut = {p for j in range(len(w) - 34) if seen[tuple(w[j : j + 35])] > 1 for p in range(j, j + 35)}
+        kept = b" ".join(x for p, x in enumerate(w) if p not in cut)
+        assert tuple(got[i])[1:] == (len(w), len(cut), hashlib.sha256(kept).hexdigest())
+
+
+def test_substrings_hot_path(spark, odd):
+    cold = substrings.remove_repeats(odd).select("doc.doc_id", "n_words", "n_removed", "sha256").collect()
+    hot = substrings.remove_repeats(odd, hot=0).select("doc.doc_id", "n_words", "n_removed", "sha256").collect()
+    assert sorted(map(str, cold)) == sorted(map(str, hot))
+    by_id = {r.doc_id: r for r in cold}
+    assert by_id[6].n_removed == by_id[6].n_words == 20_000 and by_id[8].n_removed == 200 and by_id[1].n_words == 0
+
+
+def test_fingerprints(spark, texts):
+    got = found(spark, "op3_fingerprints")
+    ids = sorted(texts)
+    for i, j in zip(ids, ids[1:] + ids[:1], strict=True):
+        half = len(texts[i]) // 2
+        edited = texts[i][: len(texts[i]) - half] + texts[j][:half]
+        row = got[i]
+        assert (row.n_chars, row.edited_sha256) == (len(texts[i]), hashlib.sha256(edited.encode()).hexdigest())
+        assert row.fingerprint == fingerprints.shown(fingerprints.signature(texts[i].encode()))
+        assert row.edited_fingerprint == fingerprints.shown(fingerprints.signature(edited.encode()))
+    close = [abs(r.near_edited - 1 / 3) for i, r in got.items() if len(texts[i]) > 1000]
+    assert np.mean(close) < 0.1
+
+
+def test_alike_texts(spark):
+    rows = [(1, "a b c d e f g h " * 9), (2, "a b c d e f g h " * 9 + "x"), (3, "something else altogether"), (4, None), (5, "")]
+    got = dict(fingerprints.alike(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+
+
+def test_queries_with_sql(spark):
+    duck = connect(FOLDER)
+    for name in ("op4_top_scores", "op9_mixing"):
+        assert differences(driver.queries()[name](spark, FOLDER), duck, driver.oracle_sql()[name]) == []
+
+
+def test_top_scores_odd(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "SHARD", 3)
+    monkeypatch.setattr(nearest, "LEAF", 1)
+    rows = [(0, [1.0, 0.0]), (50, [1.0, 1.0]), (3, [1.0, 0.0]), (2, [1.0, 0.0]), (4, None), (5, [None, 1.0]), (6, [float("nan"), 1.0]), (7, [-1.0, 0.5]), (None, [9.0, 9.0])]
+    got = nearest.top_scores(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), top=2).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 2, 65536), (0, 2, 3, 65536), (50, 1, 0, 65536), (50, 2, 2, 65536)]
+    assert nearest.top_scores(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_token_counts(spark, texts):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.vocabulary("piece_bpe_32k.model"))
+    got = found(spark, "op5_token_counts")
+    for i, t in texts.items():
+        n = len(library.encode(t))
+        assert tuple(got[i])[1:] == (len(t.encode()), n, n > 4096)
+    lengths = token_counts.Lengths(queries.vocabulary("piece_bpe_32k.model"), {})
+    for t in ("", " ", "a ", "a  b\n\n c \n", "▁▁x ▁", "\x00é한😀\t"):
+        assert sum(map(lengths.__getitem__, token_counts.pre_tokens(t))) == len(library.encode(t))
+
+
+def test_quality(spark):
+    got = found(spark, "op6_quality")
+    known = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items())
+    right = [r.predicted == known[i] for i, r in got.items() if i in known and r.held_out]
+    assert np.mean(right) > 0.9
+
+
+def test_bpe(spark, texts):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+    mine = bpe.encoder(queries.vocabulary("word_bpe_49k.json"))
+    more = ["", "  ", "</w>", "aaaa" * 99, "It's <|endoftext|>İΣ ΣΑΣ\x1cß é\x00 한😀", "<|ENDOFTEXT|> 12 3!?.", "thththe"]
+    for t in [*texts.values(), *more]:
+        ids = library.encode(t, add_special_tokens=False).ids
+        assert mine.encode(t).tolist() == ids
+        assert mine.decode(np.array(ids, np.uint32)).decode() == library.decode(ids, skip_special_tokens=False)
+    got = found(spark, "op7_bpe_roundtrip")
+    ids = library.encode(texts[0], add_special_tokens=False).ids
+    assert got[0].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
+def test_shards(spark, texts):
+    got = driver.queries()["op8_hilbert_shards"](spark, FOLDER).collect()
+    counts = collections.Counter(r.shard for r in got)
+    assert set(counts) == set(range(16)) and max(counts.values()) - min(counts.values()) <= 1
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in counts.items())
+    assert all((r.size, r.text_crc32) == (len(texts[r.doc_id].encode()) + 1, zlib.crc32(texts[r.doc_id].encode())) for r in got)
+    cells = np.arange(4**6)
+    coords = np.array([(cells >> (4 * i)) & 15 for i in range(3)])
+    order = np.argsort(sharding.hilbert_places(coords, 4))
+    assert (np.abs(np.diff(coords[:, order], axis=1)).sum(axis=0) == 1).all()
+
+
+def test_mixing_keeps_words_near_targets(spark):
+    rows = [(i, "w " * (i % 9 + 1), f"s{i % 4}" if i % 5 else None) for i in range(2000)]
+    got = mixing.mixed_rows(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken, targets, source = collections.Counter(), {}, {r[0]: r[2] for r in rows}
+    for r in got:
+        taken[source[r.doc_id]] += r.taken
+        targets[source[r.doc_id]] = r.target
+        assert r.taken <= 3 * r["size"]
+    assert len(targets) == 5 and all(abs(taken[s] - target) <= 20 for s, target in targets.items())
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style></head><body><nav><a href=x>Home</a></nav><header class="site-header">Site</header>
+<div id="cookie-notice">We use cookies</div><div class="layout"><div class="post"><h2>Big &amp; small</h2><p>First <b>bold</b>
+ text&nbsp;here, which is long enough to count as content of a page.<p>Second one, also long enough to be the content &lt;here&gt;.
+<script>var a = "</p>";</script><form><input name=q>Search</form><ul><li>One item of the text<li>Two items of the text</ul></div>
+<div class="comments"><p>I do not agree at all with this article, said a reader.</p></div></div>
+<aside class="sidebar"><p>Popular now</p></aside><footer>&copy; us</footer></body></html>"""
+
+
+def test_main_text():
+    assert html_text.main_text(PAGE) == (
+        "Big & small First bold text here, which is long enough to count as content of a page. "
+        "Second one, also long enough to be the content <here>. One item of the text Two items of the text"
+    )
+    assert [html_text.main_text(x) for x in (None, "", "<", "<p", "</div>", "<!-- x", "<script>a")] == ["", "", "<", "", "", "", ""]
+    assert html_text.main_text("<div>" * 5000 + "deep words" + "</div>" * 5000) == "deep words"
+
+
+def test_main_text_of_pages(spark):
+    for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
+        text = html_text.main_text(page.html)
+        plain = re.search(r"<article>(.*?)</article>", page.html, re.S)
+        assert bool(text) == bool(plain and re.sub(r"<[^>]*>", "", plain[1]).strip())
+        assert "track(" not in text and "©" not in text and "<b>" not in text
+
+
+def test_components(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101), (7, 7)], "a long, b long")
+    got = dict(components(edges, "test").collect())
+    assert got == {**{i: 1 for i in range(1, 61)}, 100: 100, 101: 100}
+
+
+@pytest.mark.parametrize("name", ["near", "cut", "prints", "tokens", "quality", "bpe", "shards", "mix", "mixed"])
+def test_odd_and_empty_tables(spark, odd, none, name):
+    labels = spark.createDataFrame([(4, 1), (5, 0), (None, 1), (6, None)], "doc_id long, quality int")
+    run = {
+        "near": minhash.near_duplicates, "cut": substrings.remove_repeats, "prints": fingerprints.edited_fingerprints,
+        "tokens": lambda d: token_counts.count_tokens(d, queries.vocabulary("piece_bpe_32k.model")),
+        "quality": lambda d: quality.scored(d, labels), "bpe": lambda d: bpe.encoded(d, queries.vocabulary("word_bpe_49k.json")),
+        "shards": sharding.shard_documents, "mix": mixing.mixed_rows, "mixed": mixing.mixed_documents,
+    }[name]
+    assert run(none).collect() == []
+    if name == "mixed":
+        assert run(odd).columns == odd.columns
+    else:
+        assert run(odd).count() == odd.count()
+
+
+def test_stages_keep_columns(spark, odd, none):
+    for docs in (odd, none):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, FOLDER)
+            assert docs.columns == odd.columns and [t for _, t in docs.dtypes] == [t for _, t in odd.dtypes]
+            docs.collect()
+
+
+def test_pipeline(spark):
+    assert driver.queries()["pipeline"](spark, FOLDER).count() > 0
