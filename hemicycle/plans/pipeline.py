@@ -32,13 +32,13 @@ class Model:
 #: Stored tables. Where the source may repeat a key, ``order`` says which row is kept.
 MODELS = {
     "fact_roll_call_vote": Model(
-        ["congress", "bill_key", "roll_call_number", "bioguideID", "lisid"],
-        lambda: [F.asc_nulls_last(c) for c in ("session", "chamber", "vote", "party")],
+        ["congress", "session", "chamber", "bill_key", "roll_call_number", "bioguideID", "lisid"],
+        lambda: [F.asc_nulls_last(c) for c in ("vote", "party")],
         "congress",
     ),
     "dim_votes": Model(
-        ["congress", "bill_key", "roll_call_number", "chamber"],
-        lambda: [F.desc_nulls_last(c) for c in ("vote_date", "session", "result", "yea_totals", "nay_totals")],
+        ["congress", "session", "bill_key", "roll_call_number", "chamber"],
+        lambda: [F.desc_nulls_last(c) for c in ("vote_date", "result", "yea_totals", "nay_totals")],
     ),
     "dim_bills": Model(["bill_key"]),
     "dim_sponsors": Model(["bill_key", "bioguideID"], lambda: [F.desc("sponsor_type")]),
@@ -72,7 +72,9 @@ def land_votes(spark: SparkSession, xml: str, landing: str, tables: str, run_dat
     day = high_water_mark_of(spark, f"{tables}/dim_votes", "vote_date", "2015-01-01")
     mark = F.concat(day, F.lit("T00:00:00Z"))
     named = staging.recorded_votes(readers.read_ndjson(spark, landing, readers.BILLS, run_date), mark)
-    refs = stored(named.select("url", "chamber", "bill_number", "bill_type").distinct(), "vote_references")
+    refs = stored(named.select(
+        "congress", "sessionNumber", "rollNumber", "chamber", "bill_number", "bill_type"
+    ).distinct(), "vote_references")
     for tag, kind in (("rollcall-vote", readers.HOUSE_VOTES), ("roll_call_vote", readers.SENATE_VOTES)):
         sinks.write_run(readers.read_roll_calls_xml(spark, xml, tag, refs), f"{landing}/{kind}", run_date)
 

@@ -53,7 +53,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     root = configured or context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="hemicycle-")
     if context.getCheckpointDir() is None:
@@ -66,17 +66,6 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small table one task per core before work that multiplies its rows.
-
-    Spark cuts a small file into about one split per core, but a Parquet row group is read
-    by one task whatever the splits. A table of more than two splits per core passes
-    unchanged: there the splits are full-sized, and no exchange is added.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() > 2 * cores else df.repartition(cores)
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back.
 

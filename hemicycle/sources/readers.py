@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hemicycle.functions.votes import HOUSE, SENATE, chamber_name
@@ -59,6 +59,13 @@ def bills_as_json_text(bills: DataFrame) -> DataFrame:
     )
 
 
+#: Where a document states its congress, session and number.
+_ROLL_FIELDS = {
+    "rollcall-vote": ("vote_metadata.congress", "vote_metadata.session", "vote_metadata.rollcall_num"),
+    "roll_call_vote": ("congress", "session", "vote_number"),
+}
+
+
 def read_roll_calls_xml(
     spark: SparkSession, path: str | Sequence[str], row_tag: str, references: DataFrame | None = None,
     glob: str = "*.xml",
@@ -66,31 +73,39 @@ def read_roll_calls_xml(
 ) -> DataFrame:
     """Roll calls of one chamber with the bill they belong to.
 
-    ``references`` has the columns url, bill_number and bill_type (see
-    :func:`hemicycle.plans.staging.recorded_votes`); a roll call belongs to the bill whose
-    vote url ends in its file name. Without it the bill columns are null.
+    ``references`` has the columns congress, sessionNumber, rollNumber, chamber, bill_number and
+    bill_type (see :func:`hemicycle.plans.staging.recorded_votes`); a roll call belongs to the bill
+    that names its congress, session and number, as the document states them: file names repeat in
+    every year. Without it the bill columns are null.
     """
     kind, column, chamber = _ROLL_TAGS[row_tag]
     raw = _xml(spark, path, row_tag, schemas.roll_call_xml_schema(kind), glob, bundled)
-    packed = clean_names(raw.select(F.struct(*[F.col(f"`{c}`") for c in raw.columns]).alias(column), "_metadata"))
-    named = packed.select(
-        column, F.lit(chamber).alias("chamber"), F.col("_metadata.file_name").alias("__file")
-    )
+    named = clean_names(raw.select(F.struct(*[F.col(f"`{c}`") for c in raw.columns]).alias(column)))
+    named = named.select(column, F.lit(chamber).alias("chamber"))
     if references is None:
-        return named.drop("__file").withColumns(
+        return named.withColumns(
             {"bill_number": F.lit(None).cast("bigint"), "bill_type": F.lit(None).cast("string")}
         )
+    stated = [F.col(f"{column}.{field}") for field in _ROLL_FIELDS[row_tag]]
+    given = [F.col(c) for c in ("congress", "sessionNumber", "rollNumber")]
+    keys = ["__congress", "__session", "__number"]
     known = (
         references.filter(chamber_name("chamber") == chamber)
         .select(
-            F.element_at(F.split("url", "/"), -1).alias("__ref"),
+            *[_leading_number(c).alias(k) for c, k in zip(given, keys, strict=True)],
             F.expr("try_cast(bill_number as bigint)").alias("bill_number"),
             "bill_type",
         )
-        .filter(F.col("__ref").isNotNull())
+        .dropna(subset=keys)
         .distinct()
     )
-    return named.join(known, F.col("__file") == F.col("__ref")).select(column, "chamber", "bill_number", "bill_type")
+    numbered = named.withColumns({k: _leading_number(c) for c, k in zip(stated, keys, strict=True)})
+    return numbered.join(known, keys).select(column, "chamber", "bill_number", "bill_type")
+
+
+def _leading_number(c: Column) -> Column:
+    """The digits a text starts with, as a number: 1st, 00007 and 118 alike."""
+    return F.nullif(F.regexp_extract(c.cast("string"), r"^\s*(\d+)", 1), F.lit("")).cast("bigint")
 
 
 def read_senate_ids_xml(

@@ -6,13 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hemicycle.session import spread
-
 Query = Callable[["Tables"], DataFrame]
 
-#: Tables whose rows the derived frames multiply.
-MULTIPLIED = ("orders", "lineitem")
-
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -26,8 +21,6 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name in MULTIPLIED:
-            df = spread(df)
         self.__dict__[name] = df
         return df
 

@@ -15,7 +15,7 @@ def bill(number, kind, congress, updated, title, sponsors=(), cosponsors=(), com
     )
     actions = "<item><actionDate>2023-01-09</actionDate><text>Introduced</text></item>" + "".join(
         f"<item><actionDate>{d[:10]}</actionDate><recordedVotes><recordedVote><rollNumber>{r}</rollNumber><url>{u}</url>"
-        f"<chamber>{ch}</chamber><congress>{congress}</congress><date>{d}</date></recordedVote></recordedVotes></item>"
+        f"<chamber>{ch}</chamber><congress>{congress}</congress><date>{d}</date><sessionNumber>{2 - int(d[:4]) % 2}</sessionNumber></recordedVote></recordedVotes></item>"
         for r, u, ch, d in votes
     )
     including = f"<updateDateIncludingText>{text_date}</updateDateIncludingText>" if text_date else ""

@@ -268,3 +268,14 @@ def test_recorded_vote_as_object_or_list(spark):
     two = '{"item":[{"recordedVotes":{"recordedVote":[{"rollNumber":"2","chamber":"Senate"},{"rollNumber":"3","chamber":"House"}]}}]}'
     df = spark.createDataFrame([("9", "HR", one), ("9", "HR", two), ("9", "HR", None)], "number string, type string, actions string")
     assert rows(staging.recorded_votes(df).select("rollNumber", "chamber")) == [("1", "House of Representatives"), ("2", "Senate"), ("3", "House of Representatives")]
+
+
+def test_roll_calls_of_several_years_share_a_file_name(spark, tmp_path):
+    put(tmp_path / "2023", "roll007.xml", d.house_roll(7, HOUSE_BALLOTS, session="1st"))
+    put(tmp_path / "2024", "roll007.xml", d.house_roll(7, HOUSE_BALLOTS, session="2nd"))
+    named = spark.createDataFrame(
+        [("118", "1", "7", "House", "1", "HR"), ("118", "2", "7", "House", "2", "HR")],
+        "congress string, sessionNumber string, rollNumber string, chamber string, bill_number string, bill_type string",
+    )
+    found = readers.read_roll_calls_xml(spark, str(tmp_path), "rollcall-vote", named)
+    assert rows(found.select("rollcall_vote.vote_metadata.session", "bill_number")) == [("1st", 1), ("2nd", 2)]
