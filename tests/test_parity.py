@@ -6,7 +6,9 @@ import __spark_entry__ as driver
 from parity.compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+#: The queries of the training-data subpackage have tests of their own.
+QUERIES = {k: v for k, v in driver.queries().items() if k not in driver.LLM_QUERIES}
+SQL = {k: v for k, v in driver.oracle_sql().items() if k not in driver.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")
