@@ -15,7 +15,7 @@ from hemicycle.plans import extras, members as mem, reports, staging, views, vot
 from hemicycle.session import stored
 from parity import shapes
 from parity.registry import Tables, query
-from parity.star_sql import ORDINAL, senate, star
+from parity.star_sql import BALLOT_ID, ORDINAL, senate, star
 
 
 class Star:
@@ -256,7 +256,7 @@ def _(t: Tables) -> DataFrame:
     "terms_condensed",
     star(
         """SELECT "bioguideID", chamber, min(term_start_year) AS term_start_year,
-             CASE WHEN max(ifnull(term_end_year, 9999)) = 9999 THEN NULL ELSE max(term_end_year) END AS term_end_year
+             CASE WHEN bool_or(term_end_year IS NULL) THEN NULL ELSE max(term_end_year) END AS term_end_year
            FROM terms GROUP BY ALL""",
         "members",
     ),
@@ -268,13 +268,16 @@ def _(t: Tables) -> DataFrame:
 @query(
     "term_islands",
     star(
-        """, lagged AS (SELECT *, lag(term_end_year) OVER w AS last_end, lag(chamber) OVER w AS last_chamber FROM terms
-             WINDOW w AS (PARTITION BY "bioguideID" ORDER BY term_end_year ASC NULLS FIRST, chamber, term_start_year)),
-           flagged AS (SELECT *, CASE WHEN term_start_year = last_end AND chamber = last_chamber THEN 0 ELSE 1 END AS fresh FROM lagged),
-           grouped AS (SELECT *, sum(fresh) OVER (PARTITION BY "bioguideID", chamber ORDER BY term_end_year ASC NULLS FIRST) AS g FROM flagged)
-           SELECT "bioguideID", chamber, g::BIGINT AS term_group, min(term_start_year) AS term_start_year,
-             CASE WHEN max(ifnull(term_end_year, 9999)) = 9999 THEN NULL ELSE max(term_end_year) END AS term_end_year
-           FROM grouped GROUP BY ALL""",
+        """, placed AS (SELECT *, row_number() OVER (PARTITION BY "bioguideID"
+             ORDER BY term_end_year NULLS FIRST, chamber, term_start_year) AS place FROM terms),
+           heads AS (SELECT * FROM placed t WHERE NOT EXISTS (FROM placed b WHERE b."bioguideID" = t."bioguideID"
+             AND b.place = t.place - 1 AND b.chamber = t.chamber AND b.term_end_year = t.term_start_year)),
+           counted AS (SELECT t."bioguideID", t.chamber, t.term_start_year, t.term_end_year, count(h.place) AS term_group
+             FROM terms t LEFT JOIN heads h ON h."bioguideID" = t."bioguideID" AND h.chamber = t.chamber
+               AND coalesce(h.term_end_year, 0) <= coalesce(t.term_end_year, 0) GROUP BY ALL)
+           SELECT "bioguideID", chamber, term_group, min(term_start_year) AS term_start_year,
+             CASE WHEN bool_or(term_end_year IS NULL) THEN NULL ELSE max(term_end_year) END AS term_end_year
+           FROM counted GROUP BY "bioguideID", chamber, term_group""",
         "members",
     ),
 )
@@ -317,29 +320,28 @@ def _(t: Tables) -> DataFrame:
     return reports.alignment_summary(Star(t).votes_by_member, None, "House of Representatives", "Area HR")
 
 
-def _lead(p: str) -> str:
-    y, n, r = (f'"{p}_{c}_votes"' for c in ("yea_or_aye", "nay_or_no", "present"))
-    return (
-        f"CASE WHEN greatest({y}, {n}, {r}) = {y} THEN 'yea/aye' WHEN greatest({y}, {n}, {r}) = {n} THEN 'nay/no' "
-        f"WHEN greatest({y}, {n}, {r}) = {r} THEN 'present' END AS lead_{p}"
-    )
+#: Every class of votes of every party on a roll call as a row; of equal counts the class with the greater ``weight`` leads.
+_CLASSES = " UNION ALL ".join(
+    f"""SELECT line, '{name}' AS party, '{shown}' AS class, "{letter}_{column}_votes" * 4 + {weight} AS weight FROM listed"""
+    for letter, name in (("D", "Democratic"), ("R", "Republican"), ("I", "Independent"))
+    for weight, column, shown in ((3, "yea_or_aye", "yea/aye"), (2, "nay_or_no", "nay/no"), (1, "present", "present"))
+)
 
 
 @query(
     "party_loyalty",
     star(
-        f""", j AS (
-          SELECT coalesce(h."bioguideID", s."bioguideID") AS "bioguideID", coalesce(h."invertedOrderName", s."invertedOrderName") AS name,
-            coalesce(h."mostRecentParty", s."mostRecentParty") AS "partyName", f.chamber, {_lead('D')}, {_lead('R')}, {_lead('I')},
-            CASE WHEN vote IN ('Yea', 'Aye') THEN 'yea/aye' WHEN vote IN ('No', 'Nay') THEN 'nay/no' WHEN vote = 'Present' THEN 'present'
-                 WHEN vote = 'Not Voting' THEN 'not_voting' END AS member_vote
-          FROM fact f JOIN votes v ON f.roll_call_number = v.roll_call_number AND f.bill_name = v.bill_name
-            LEFT JOIN members h ON f."bioguideID" = h."bioguideID" LEFT JOIN members s ON f.lisid = s.lisid)
-        SELECT name, "bioguideID", "partyName", chamber,
-          round(sum(CASE WHEN "partyName" = 'Democratic' AND lead_D = member_vote THEN 1 WHEN "partyName" = 'Republican' AND lead_R = member_vote THEN 1
-            WHEN "partyName" = 'Independent' AND lead_I = member_vote THEN 1 ELSE 0 END) / nullif(sum(CASE member_vote WHEN 'not_voting' THEN 0 ELSE 1 END), 0), 2)
+        f""", listed AS (SELECT row_number() OVER () AS line, * FROM votes),
+        leads AS (SELECT line, party, arg_max(class, weight) AS class FROM ({_CLASSES}) GROUP BY line, party),
+        cast_as AS (SELECT unnest(['Yea', 'Aye', 'No', 'Nay', 'Present', 'Not Voting']) AS vote,
+                           unnest(['yea/aye', 'yea/aye', 'nay/no', 'nay/no', 'present', 'not_voting']) AS class)
+        SELECT p.name, p."bioguideID", p."partyName", f.chamber,
+          round(count(*) FILTER (k.class = c.class) / nullif(count(*) FILTER (c.class IS DISTINCT FROM 'not_voting'), 0), 2)
             AS perc_votes_with_party_majority
-        FROM j WHERE "bioguideID" IS NOT NULL GROUP BY ALL""",
+        FROM fact f JOIN people p ON p.ident = {BALLOT_ID} LEFT JOIN cast_as c ON c.vote = f.vote
+          JOIN listed v ON v.roll_call_number = f.roll_call_number AND v.bill_name = f.bill_name
+          LEFT JOIN leads k ON k.line = v.line AND k.party = p."partyName"
+        GROUP BY ALL""",
         "vbm",
     ),
 )
@@ -380,7 +382,7 @@ def _(t: Tables) -> DataFrame:
     "years_served",
     star(
         """SELECT "bioguideID", chamber, min(term_start_year) AS "Start Year",
-             CASE WHEN max(ifnull(term_end_year, 9999)) = 9999 THEN '-' ELSE max(term_end_year)::VARCHAR END AS "End Year"
+             CASE WHEN bool_or(term_end_year IS NULL) THEN '-' ELSE max(term_end_year)::VARCHAR END AS "End Year"
            FROM terms GROUP BY "bioguideID", chamber""",
         "members",
     ),
