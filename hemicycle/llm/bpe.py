@@ -22,6 +22,9 @@ from pyspark.sql import functions as F
 
 from hemicycle.llm.common import CACHE_ENTRIES, small_batches
 
+#: Letters of a piece or word that a cache may hold.
+LONGEST = 64
+
 #: Characters that str.split cuts at but the tokenizer does not.
 _ODD_SPACES = regex.compile("[\x1c-\x1f]")
 _SPACES = regex.compile(r"\p{White_Space}+")
@@ -169,7 +172,9 @@ class Encoder:
             raw = word.encode()
             inner = self.inner
             symbols = "".join([inner[b] for b in raw[:-1]]) + self.last[raw[-1]]
-            found = self.cache[word] = np.array(self.encode_symbols(symbols), "<u4").tobytes()
+            found = np.array(self.encode_symbols(symbols), "<u4").tobytes()
+            if len(word) <= LONGEST:
+                self.cache[word] = found
         return found
 
     def encode_plain(self, text: str) -> bytes:
@@ -209,7 +214,9 @@ class Chunks(dict):
             self.clear()
         # Letter by letter: a capital sigma at a word's end is no special case for the tokenizer.
         plain = (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk)).replace("Σ", "σ").lower()
-        value = self[chunk] = b"".join(map(self.encoder.encode_word, self.encoder.words(plain)))
+        value = b"".join(map(self.encoder.encode_word, self.encoder.words(plain)))
+        if len(chunk) <= LONGEST:
+            self[chunk] = value
         return value
 
 

@@ -23,6 +23,8 @@ from hemicycle.llm.common import CACHE_ENTRIES, as_bytes, small_batches
 LIMIT = 4096
 #: Entries of the broadcast table, and of what each task proposes for it.
 FREQUENT, PROPOSED = 32_768, 16_384
+#: Letters of a pre-token that the table or a cache may hold: bounds both where texts have no blanks.
+LONGEST = 64
 #: A line break and what follows it without a blank; blanks and what follows them; blanks alone.
 PRE_TOKEN = re.compile(r"\n[^ \n]*| *[^ \n]+| +")
 
@@ -63,7 +65,8 @@ class Lengths(dict):
             value = 1  # a blank alone; the library gives nothing for an empty text
         else:
             value = len(self.encode(unit[1:])) if unit[0] == " " else len(self.encode(unit)) - 1
-        self[unit] = value
+        if len(unit) <= LONGEST:
+            self[unit] = value
         return value
 
 
@@ -71,7 +74,7 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter[str] = Counter()
     for batch in batches:
         for text in batch.column(0).to_pylist():
-            seen.update(pre_tokens(text or ""))
+            seen.update(u for u in pre_tokens(text or "") if len(u) <= LONGEST)
         if len(seen) > CACHE_ENTRIES:
             seen = Counter(dict(seen.most_common(CACHE_ENTRIES // 4)))
     top = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:PROPOSED]
@@ -79,7 +82,10 @@ def _propose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequent_lengths(docs: DataFrame, path: str) -> tuple[str, np.ndarray]:
-    """The most frequent pre-tokens, joined by a zero character, and their token counts."""
+    """The most frequent pre-tokens, joined by a zero character, and their token counts.
+
+    At most ``FREQUENT`` of at most ``LONGEST`` letters, that is 8 MB of UTF-8 at most, whatever the input.
+    """
     proposed = docs.select("text").mapInArrow(_propose, "unit string, n long")
     top = proposed.filter("instr(unit, char(0)) = 0").groupBy("unit").agg(F.sum("n").alias("n"))
     units = [r[0] for r in top.orderBy(F.desc("n"), "unit").limit(FREQUENT).select("unit").collect()]
