@@ -1,4 +1,4 @@
-"""Date texts of the source documents. Unreadable text becomes null."""
+"""Date texts of the source documents. Unreadable text becomes null, except in :func:`stated_instant`."""
 
 from __future__ import annotations
 
@@ -28,3 +28,10 @@ def senate_date(col: Column | str) -> Column:
 def iso_instant(col: Column | str) -> Column:
     """``2023-01-09T12:00:00Z`` as a timestamp."""
     return F.try_to_timestamp(as_column(col), F.lit(ISO_INSTANT))
+
+
+def stated_instant(col: Column | str) -> Column:
+    """:func:`iso_instant`, but a text that is there and cannot be read fails the job; empty is null."""
+    text = F.nullif(as_column(col), F.lit(""))
+    broken = F.raise_error(F.concat(F.lit("unreadable date: "), text))
+    return F.when(text.isNotNull(), F.coalesce(iso_instant(text), broken.cast("timestamp")))

@@ -9,9 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.functions.dates import iso_instant
+from hemicycle.functions.dates import iso_instant, stated_instant
 from hemicycle.operators.dedupe import top_per_group
-from hemicycle.session import checkpoint_root
 
 #: Mark of an empty or missing table, and the last year a former member may have left.
 DEFAULT_MARK = "2015-01-01T00:00:00Z"
@@ -40,12 +39,16 @@ def merge_upsert(
     keys: Sequence[str],
     exclude: Sequence[str] = AUDIT_COLUMNS,
     order: Sequence[Column] | None = None,
+    version: Sequence[str] = (),
 ) -> DataFrame:
     """Target after an upsert: matched rows take the source's values, new keys are added.
 
     Keys compare null-safe, so a row with a null key part is updated rather than added
     again. Columns in ``exclude`` keep the target's value on a match. Both sides are unique
     on the key, which spreads the full outer join evenly.
+
+    ``version`` names columns whose first non-null value tells how new a row is. A target row
+    that is newer than the source's stays as it is; a row without a version is the oldest.
     """
     new = unique_source(source, keys, order)
     rest = [c for c in target.columns if c not in keys]
@@ -54,13 +57,18 @@ def merge_upsert(
     same = reduce(lambda a, b: a & b, [F.col(f"__t_{k}").eqNullSafe(F.col(f"__s_{k}")) for k in keys])
     joined = old.join(new, same, "full_outer")
 
+    later = F.lit(False)
+    if version:
+        ours, given = (F.coalesce(*[F.col(f"{side}{c}") for c in version]) for side in ("__t_", "__s_"))
+        later = F.col("__t") & ours.isNotNull() & (given.isNull() | (ours > given))
+
     def value(col: str) -> Column:
         mine, theirs = F.col(f"__t_{col}"), F.col(f"__s_{col}")
         if f"__s_{col}" not in new.columns:
             return mine
         if col in keys or col in exclude:
             return F.when(F.col("__t"), mine).otherwise(theirs)
-        return F.when(F.col("__s"), theirs).otherwise(mine)
+        return F.when(F.col("__s") & ~F.coalesce(later, F.lit(False)), theirs).otherwise(mine)
 
     kinds = dict(target.dtypes)
     picked = {c: value(c).cast(kinds[c]).alias(c) for c in [*keys, *rest]}
@@ -68,10 +76,16 @@ def merge_upsert(
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table is stored at ``path``.
+
+    An upsert that was cut off is finished first. A folder without a readable table is an error, as
+    taking it for a new table would hide a loss.
+    """
+    _finish(spark, path)
     try:
         return bool(spark.read.parquet(path).columns)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 
@@ -84,14 +98,16 @@ def upsert_table(
     exclude: Sequence[str] = AUDIT_COLUMNS,
     order: Sequence[Column] | None = None,
     partition_by: str | None = None,
+    version: Sequence[str] = (),
 ) -> None:
     """Upsert into a Parquet table, made on first use.
 
     With ``partition_by`` (one of the keys) only the folders the source touches are read
-    and rewritten. The merged rows go to a reliable checkpoint before the table is
-    replaced, so a lost executor never needs files that are already gone.
+    and rewritten. The merged rows are written beside the table (``<path>.writing``), named
+    ``<path>.ready`` once complete, and only then take the place of what they replace. A job that
+    dies before that leaves the table as it was; one that dies after it is finished by the next
+    call. Needs a file system that renames folders at once.
     """
-    checkpoint_root(spark)
     if partition_by and partition_by not in keys:
         raise ValueError("partition_by must be part of the key")
     if table_exists(spark, path):
@@ -101,13 +117,54 @@ def upsert_table(
             touched = [r[0] for r in source.select(partition_by).distinct().collect()]
             known = F.col(partition_by).isin([v for v in touched if v is not None])
             target = target.filter(known | F.col(partition_by).isNull() if None in touched else known)
-        rows = merge_upsert(target, source, keys, exclude, order).checkpoint()
+        rows = merge_upsert(target, source, keys, exclude, order, version)
     else:
         rows = unique_source(source, keys, order)
-    writer = rows.write.mode("overwrite")
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_by)
-    writer.parquet(path)
+        # No task writes to every folder; a folder that is too large is split.
+        rows.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(f"{path}.writing")
+    else:
+        rows.write.mode("overwrite").parquet(f"{path}.writing")
+    _rename(spark, f"{path}.writing", f"{path}.ready")
+    _finish(spark, path)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and a maker of its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), make
+
+
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    files, make = _files(spark, old)
+    if not files.rename(make(old), make(new)):
+        raise OSError(f"cannot rename {old} to {new}")
+
+
+def _finish(spark: SparkSession, path: str) -> None:
+    """Put complete new rows in the place of the old ones; can be repeated from any point."""
+    files, make = _files(spark, path)
+    ready, old = f"{path}.ready", f"{path}.old"
+    if files.exists(make(ready)):
+        found = files.listStatus(make(ready))
+        folders = [f.getPath().getName() for f in found if f.isDirectory()]
+        parts = [f for f in found if f.getPath().getName().endswith(".parquet")]
+        if parts or not files.exists(make(path)):
+            if files.exists(make(path)):
+                files.delete(make(old), True)
+                _rename(spark, path, old)
+            _rename(spark, ready, path)
+        else:
+            files.mkdirs(make(old))
+            for name in folders:
+                if files.exists(make(f"{path}/{name}")):
+                    files.delete(make(f"{old}/{name}"), True)
+                    _rename(spark, f"{path}/{name}", f"{old}/{name}")
+                _rename(spark, f"{ready}/{name}", f"{path}/{name}")
+            files.delete(make(ready), True)
+        spark.catalog.refreshByPath(path)
+    if files.exists(make(old)):
+        files.delete(make(old), True)
 
 
 def high_water_mark(df: DataFrame, field: str, default: str = DEFAULT_MARK) -> DataFrame:
@@ -135,14 +192,17 @@ def filter_new_bills(
     field: str = "updateDateIncludingText",
     fallback: str = "updateDate",
 ) -> DataFrame:
-    """Bills updated at or after the mark; bills without ``field`` go by ``fallback``."""
+    """Bills updated at or after the mark; bills without ``field`` go by ``fallback``.
+
+    Rows without a date are left out; a date that cannot be read fails the job, here and below.
+    """
     updated = F.coalesce(F.nullif(F.col(field), F.lit("")), F.col(fallback))
-    return bills.filter(iso_instant(updated) >= as_mark(mark))
+    return bills.filter(stated_instant(updated) >= as_mark(mark))
 
 
 def filter_new_votes(votes: DataFrame, mark: Column | str | DataFrame, field: str = "date") -> DataFrame:
     """Recorded votes dated at or after the mark; a missing date counts as 1900."""
-    return votes.filter(iso_instant(F.coalesce(F.col(field), F.lit("1900-01-01T00:00:00Z"))) >= as_mark(mark))
+    return votes.filter(stated_instant(F.coalesce(F.col(field), F.lit("1900-01-01T00:00:00Z"))) >= as_mark(mark))
 
 
 def filter_members(
@@ -154,4 +214,4 @@ def filter_members(
 ) -> DataFrame:
     """Members updated at or after the mark with an open term or one that ended after ``end_year``."""
     serves = F.exists(F.col(terms), lambda t: t["endYear"].isNull() | (t["endYear"] > end_year))
-    return members.filter((iso_instant(updated) >= as_mark(mark)) & serves)
+    return members.filter((stated_instant(updated) >= as_mark(mark)) & serves)

@@ -27,6 +27,8 @@ class Model:
     order: Callable[[], list[Column]] | None = None
     partition_by: str | None = None
     stamp: str = "flowDate"
+    #: What tells an older version of a row from a newer one, whichever run comes last.
+    version: Sequence[str] = ()
 
 
 #: Stored tables. Where the source may repeat a key, ``order`` says which row is kept.
@@ -40,7 +42,7 @@ MODELS = {
         ["congress", "session", "bill_key", "roll_call_number", "chamber"],
         lambda: [F.desc_nulls_last(c) for c in ("vote_date", "result", "yea_totals", "nay_totals")],
     ),
-    "dim_bills": Model(["bill_key"]),
+    "dim_bills": Model(["bill_key"], version=("updateDateIncludingText",)),
     "dim_sponsors": Model(["bill_key", "bioguideID"], lambda: [F.desc("sponsor_type")]),
     "dim_bill_subjects": Model(["bill_key", "subject"], stamp="updateDatetime"),
     "dim_committees": Model(
@@ -52,7 +54,7 @@ MODELS = {
     "dim_party_history": Model(
         ["bioguideID", "startYear"], lambda: [F.desc_nulls_first("endYear"), F.asc_nulls_last("partyName")]
     ),
-    "dim_members": Model(["bioguideID"]),
+    "dim_members": Model(["bioguideID"], version=("updateDate",)),
 }
 
 
@@ -61,13 +63,14 @@ def stamped(df: DataFrame, col: str = "flowDate") -> DataFrame:
     return df.withColumn(col, F.current_timestamp())
 
 
-def land_bills(spark: SparkSession, xml: str, landing: str, tables: str, run_date: str) -> None:
+def land_bills(spark: SparkSession, xml: str, landing: str, tables: str, run_date: str, max_records: int = sinks.ROWS_PER_FILE) -> None:
     """Bill files updated since the stored bills to a landing run."""
     mark = high_water_mark_of(spark, f"{tables}/dim_bills", "updateDateIncludingText")
-    sinks.write_run(filter_new_bills(readers.read_bills_xml(spark, xml), mark), f"{landing}/{readers.BILLS}", run_date)
+    new = filter_new_bills(readers.read_bills_xml(spark, xml), mark)
+    sinks.write_run(new, f"{landing}/{readers.BILLS}", run_date, max_records)
 
 
-def land_votes(spark: SparkSession, xml: str, landing: str, tables: str, run_date: str) -> None:
+def land_votes(spark: SparkSession, xml: str, landing: str, tables: str, run_date: str, max_records: int = sinks.ROWS_PER_FILE) -> None:
     """Roll calls named in the bills of this run, on or after the latest stored vote day."""
     day = high_water_mark_of(spark, f"{tables}/dim_votes", "vote_date", "2015-01-01")
     mark = F.concat(day, F.lit("T00:00:00Z"))
@@ -76,16 +79,22 @@ def land_votes(spark: SparkSession, xml: str, landing: str, tables: str, run_dat
         "congress", "sessionNumber", "rollNumber", "chamber", "bill_number", "bill_type"
     ).distinct(), "vote_references")
     for tag, kind in (("rollcall-vote", readers.HOUSE_VOTES), ("roll_call_vote", readers.SENATE_VOTES)):
-        sinks.write_run(readers.read_roll_calls_xml(spark, xml, tag, refs), f"{landing}/{kind}", run_date)
+        sinks.write_run(readers.read_roll_calls_xml(spark, xml, tag, refs), f"{landing}/{kind}", run_date, max_records)
 
 
 def land_members(
-    spark: SparkSession, json_dir: str, landing: str, tables: str, run_date: str, end_year: int = MEMBER_YEAR_LIMIT
+    spark: SparkSession, json_dir: str, landing: str, tables: str, run_date: str, end_year: int = MEMBER_YEAR_LIMIT,
+    max_records: int = sinks.ROWS_PER_FILE,
 ) -> None:
     """Members updated since the stored ones who serve or served after ``end_year``."""
     mark = high_water_mark_of(spark, f"{tables}/dim_members", "updateDate")
-    raw = spark.read.schema(readers.schemas.landing_schema(readers.MEMBERS)).json(json_dir)
-    sinks.write_run(filter_members(raw, mark, end_year), f"{landing}/{readers.MEMBERS}", run_date)
+    raw = spark.read.schema(readers.schemas.landing_schema(readers.MEMBERS)).option("mode", "FAILFAST").json(json_dir)
+    sinks.write_run(filter_members(raw, mark, end_year), f"{landing}/{readers.MEMBERS}", run_date, max_records)
+
+
+def land_senate_ids(spark: SparkSession, xml: str, landing: str, max_records: int = sinks.ROWS_PER_FILE) -> None:
+    """The list of senators' ids. It is a whole, so each run replaces it."""
+    sinks.write_ndjson(readers.read_senate_ids_xml(spark, xml), f"{landing}/{readers.SENATE_IDS}", max_records)
 
 
 def sources(spark: SparkSession, landing: str, seeds: str, run_date: str | None = None) -> dict[str, DataFrame]:
@@ -122,7 +131,8 @@ def load_tables(spark: SparkSession, landing: str, seeds: str, tables: str, run_
         model = MODELS[name]
         order = model.order() if model.order else None
         upsert_table(
-            spark, f"{tables}/{name}", stamped(df, model.stamp), model.keys, AUDIT_COLUMNS, order, model.partition_by
+            spark, f"{tables}/{name}", stamped(df, model.stamp), model.keys, AUDIT_COLUMNS, order, model.partition_by,
+            model.version,
         )
     zones = readers.read_seed(spark, f"{seeds}/congressional_zones.csv", "congressional_zones")
     states = readers.read_seed(spark, f"{seeds}/state_abbreviations.csv", "state_abbreviations")

@@ -22,13 +22,14 @@ def _xml(spark: SparkSession, path: str | Sequence[str], row_tag: str, schema, g
     """XML rows; attributes keep their own names and element text is called ``text``.
 
     A file holds one document, or any number of them one after another if ``bundled``;
-    bundled files may be split between tasks.
+    bundled files may be split between tasks. A document that cannot be read fails the job.
     """
     return (
         spark.read.format("xml")
         .option("rowTag", row_tag)
         .option("attributePrefix", "")
         .option("valueTag", "text")
+        .option("mode", "FAILFAST")
         .option("multiLine", str(not bundled).lower())
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
@@ -120,10 +121,14 @@ def read_senate_ids_xml(
 
 
 def read_ndjson(spark: SparkSession, root: str, kind: str, run_date: str | None = None) -> DataFrame:
-    """One landing folder with the declared schema: all runs, or the one given."""
+    """One landing folder with the declared schema: all runs, or the one given.
+
+    A line that is no JSON, or has a value of another type, fails the job.
+    """
     folder = f"{root.rstrip('/')}/{kind}" + (f"/run_date={run_date}" if run_date else "")
     return (
         spark.read.schema(schemas.landing_schema(kind))
+        .option("mode", "FAILFAST")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.json")
         .json(folder)

@@ -99,13 +99,13 @@ def _(t: Tables) -> DataFrame:
     return staging.stage_senate_ids(ids).select("last_name", "bioguideID", "lisid")
 
 
-@query("ndjson_roundtrip", star("SELECT * FROM fact WHERE chamber = 'Senate'", "fact"))
+@query("ndjson_roundtrip", star("SELECT * FROM fact", "fact"))
 def _(t: Tables) -> DataFrame:
     root = scratch_path(t.spark, "landing")
-    sinks.write_run(shapes.senate_votes(t.orders), f"{root}/{readers.SENATE_VOTES}", "2024-05-06")
-    landed = readers.read_ndjson(t.spark, root, readers.SENATE_VOTES)
-    nobody = shapes.house_votes(t.orders).filter("false")
-    return v.fact_roll_call_vote(staging.stage_house_votes(nobody), staging.stage_senate_votes(landed))
+    sinks.write_run(shapes.house_votes(t.orders), f"{root}/{readers.HOUSE_VOTES}", "2024-05-06", 100_000)
+    sinks.write_run(shapes.senate_votes(t.orders), f"{root}/{readers.SENATE_VOTES}", "2024-05-06", 100_000)
+    house, senate = (readers.read_ndjson(t.spark, root, kind) for kind in (readers.HOUSE_VOTES, readers.SENATE_VOTES))
+    return v.fact_roll_call_vote(staging.stage_house_votes(house), staging.stage_senate_votes(senate))
 
 
 @query("landing_bills", star("SELECT * FROM sponsors", "sponsors"))
@@ -184,6 +184,21 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@query(
+    "merge_replay",
+    """SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'P' THEN '2023' ELSE '2024' END AS ver,
+         CASE WHEN o_orderstatus = 'P' THEN 'old' ELSE o_orderstatus END AS v FROM orders""",
+)
+def _(t: Tables) -> DataFrame:
+    """An older run that is loaded after a newer one adds rows and changes none."""
+    path = scratch_path(t.spark, "replay")
+    newer = t.orders.filter("o_orderstatus <> 'P'").selectExpr("o_orderkey AS k", "'2024' AS ver", "o_orderstatus AS v")
+    older = t.orders.selectExpr("o_orderkey AS k", "'2023' AS ver", "'old' AS v")
+    for run in (newer, older):
+        merge.upsert_table(t.spark, path, run, ["k"], version=["ver"])
+    return t.spark.read.parquet(path)
+
+
 @query("overwrite_table", star("SELECT * FROM districts", "districts"))
 def _(t: Tables) -> DataFrame:
     from hemicycle.plans.members import dim_congressional_districts

@@ -217,6 +217,49 @@ def test_upsert_table_rewrites_touched_folders_only(spark, tmp_path):
     assert {p.name for p in (tmp_path / "t" / "congress=2").iterdir()} == untouched
 
 
+def test_older_version_does_not_replace_a_newer_one(spark):
+    old = frame(spark, [(1, "x", "2024", "t0"), (1, "y", "2023", "t0"), (1, "z", None, "t0"), (1, "w", "2024", "t0")])
+    new = frame(spark, [(1, "x", "2023", "t1"), (1, "y", "2024", "t1"), (1, "z", "2020", "t1"), (1, "w", None, "t1"), (1, "n", "1999", "t1")])
+    got = merge.merge_upsert(old, new, ["congress", "k"], version=["v"]).select("k", "v")
+    assert rows(got) == [("n", "1999"), ("w", "2024"), ("x", "2024"), ("y", "2024"), ("z", "2020")]
+
+
+@pytest.mark.parametrize("folders", [None, "congress"])
+def test_upsert_that_dies_loses_nothing(spark, tmp_path, monkeypatch, folders):
+    path, keys = str(tmp_path / "t"), ["congress", "k"]
+    first, second = frame(spark, [(1, "x", "a", "t0"), (2, "y", "a", "t0")]), frame(spark, [(1, "x", "b", "t1"), (3, "z", "b", "t1")])
+    merge.upsert_table(spark, path, first, keys, partition_by=folders)
+    whole = merge._rename
+    for dies_at, expected in ((1, "a"), (2, "b"), (3, "b")):
+        calls = []
+
+        def dying(spark, old, new):
+            calls.append(new)
+            if len(calls) == dies_at:
+                raise RuntimeError("the driver died")
+            whole(spark, old, new)
+
+        monkeypatch.setattr(merge, "_rename", dying)
+        with pytest.raises(RuntimeError, match="died"):
+            merge.upsert_table(spark, path, second, keys, partition_by=folders)
+        monkeypatch.setattr(merge, "_rename", whole)
+        assert merge.table_exists(spark, path)
+        got = spark.read.parquet(path).select("k", "v")
+        assert rows(got) == ([("x", "a"), ("y", "a")] if expected == "a" else [("x", "b"), ("y", "a"), ("z", "b")])
+
+
+def test_folder_without_a_table_is_an_error(spark, tmp_path):
+    (tmp_path / "t" / "_temporary").mkdir(parents=True)
+    with pytest.raises(Exception, match="(?i)infer"):
+        merge.upsert_table(spark, str(tmp_path / "t"), frame(spark, [(1, "x", "a", "t0")]), ["congress", "k"])
+
+
+def test_unreadable_dates_fail(spark):
+    df = spark.createDataFrame([(1, "2020-01-01", None)], "id int, updateDateIncludingText string, updateDate string")
+    with pytest.raises(Exception, match="unreadable date: 2020-01-01"):
+        merge.filter_new_bills(df, "2020-01-01T00:00:00Z").collect()
+
+
 def test_marks(spark, tmp_path):
     df = spark.createDataFrame([("2020-01-01T00:00:00Z",), (None,)], "d string")
     assert merge.high_water_mark(df, "d").first()[0] == "2020-01-01T00:00:00Z"

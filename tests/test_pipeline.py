@@ -7,7 +7,7 @@ import documents as d
 from conftest import rows
 from hemicycle.operators.checks import check_relationship, check_unique
 from hemicycle.plans import bills as b, extras, members as m, pipeline, reports, staging, views, votes as v
-from hemicycle.sources import readers, sinks
+from hemicycle.sources import readers
 
 
 def put(folder, name, text):
@@ -54,7 +54,7 @@ def run(spark, tmp_path_factory):
 
     landing, tables, out = (str(root / n) for n in ("landing", "tables", "out"))
     day = "2023-06-05"
-    sinks.write_ndjson(readers.read_senate_ids_xml(spark, str(root / "senators")), f"{landing}/{readers.SENATE_IDS}")
+    pipeline.land_senate_ids(spark, str(root / "senators"), landing)
 
     def step():
         pipeline.land_bills(spark, str(xml), landing, tables, day)
@@ -279,3 +279,13 @@ def test_roll_calls_of_several_years_share_a_file_name(spark, tmp_path):
     )
     found = readers.read_roll_calls_xml(spark, str(tmp_path), "rollcall-vote", named)
     assert rows(found.select("rollcall_vote.vote_metadata.session", "bill_number")) == [("1st", 1), ("2nd", 2)]
+
+
+def test_unreadable_input_fails_the_run(spark, tmp_path):
+    put(tmp_path / "landing" / "bill_status", "a.json", '{"number":"1"}\n{"number":"2",\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_ndjson(spark, str(tmp_path / "landing"), "bill_status").collect()
+    whole = d.bill(1, "HR", 118, "2023-02-01T00:00:00Z", "First Act", ["M1"])
+    put(tmp_path / "bills", "cut.xml", whole[: len(whole) * 2 // 3])
+    with pytest.raises(Exception, match="(?i)malformed|unread"):
+        readers.read_bills_xml(spark, str(tmp_path / "bills")).collect()
