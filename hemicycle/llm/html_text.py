@@ -22,7 +22,7 @@ from hemicycle.llm.common import as_bytes, small_batches
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 DROPPED = frozenset(
-    "script style textarea noscript template iframe xmp noembed noframes head title nav footer aside form button select option "
+    "script style textarea noscript template iframe xmp noembed noframes head title nav footer aside button select option "
     "input label fieldset legend datalist menu dialog svg math canvas object embed audio video map".split()
 )
 INLINE = frozenset(
@@ -43,6 +43,12 @@ CLUTTER = re.compile(
     r"pagination|pager|skip|toolbar|complementary|contentinfo|form|alert|disclaimer)(?:$|[\s_-])",
     re.I,
 )
+#: Names that say what a page has or lacks ("no-sidebar", "has-side-nav"), not what the element is.
+_STATE = re.compile(r"(?:^|\s)(?:no|not|has|have|with|without|hide|show)[_-]\S*", re.I)
+#: Elements of a text, whose ids are the slugs of their headings.
+SLUGGED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p li dl dt dd blockquote pre figure figcaption table".split())
+#: Share of the body's text outside links that makes a node too large to be left out for its name.
+_LARGE = 2 / 3
 _KEPT = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main|content)(?:$|[\s_-])", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -50,27 +56,39 @@ _BLANK = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "items", "parent", "dropped", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "items", "parent", "dropped", "named", "chars", "links", "tags", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, named: str = ""):
+        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, named
         self.items: list[Node | str] = []
 
 
-def _clutter(tag: str, attributes: str) -> bool:
+def _hidden(tag: str, attributes: str) -> bool:
     if tag in DROPPED:
         return True
     if not attributes or tag in ("body", "html", "article", "main"):
         return "hidden" in attributes and any(m[1].lower() == "hidden" for m in _ATTRIBUTE.finditer(attributes))
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
-        if name in ("class", "id", "role") and CLUTTER.search(value) and not (name != "role" and _KEPT.search(value)):
-            return True
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
     return False
 
 
+def _named(tag: str, attributes: str) -> str:
+    """The attribute that names an element as clutter, the tag of a form, or nothing."""
+    if tag == "form":
+        return tag
+    by = ""
+    for name, a, b, c in _ATTRIBUTE.findall(attributes) if tag not in ("body", "html") else ():
+        name, value = name.lower(), a or b or c
+        if name not in ("class", "id", "role") or name == "id" and tag in SLUGGED:
+            continue
+        if CLUTTER.search(value if name == "role" else _STATE.sub(" ", value)) and not (name != "role" and _KEPT.search(value)):
+            by = name if by in ("", "id") else by
+    return by
+
+
 def parse(page: str) -> Node:
     """The tree of a page; end tags that nothing opened are left out, open elements end with their parent."""
     root = node = Node("#page", None, False)
@@ -114,8 +132,10 @@ def parse(page: str) -> Node:
                     node = node.parent
         if tag in ("html", "body") and any(isinstance(x, Node) and x.tag == tag for x in node.items):
             continue
-        dropped = _clutter(tag, found[3]) or tag == "header" and not _inside(node, ("article", "main"))
-        new = Node(tag, node, dropped)
+        named = _named(tag, found[3])
+        if tag == "header" and not _inside(node, ("article", "main")):
+            named = tag
+        new = Node(tag, node, _hidden(tag, found[3]), named)
         node.items.append(new)
         if tag in VOID or found[3].endswith("/") and tag in ("path", "rect", "circle", "use"):
             continue
@@ -145,14 +165,61 @@ def _order(root: Node) -> list[Node]:
     return found
 
 
+def _measure(order: list[Node]) -> None:
+    """Characters of each node, all and in links."""
+    for node in reversed(order):
+        children = [x for x in node.items if isinstance(x, Node) and not x.dropped]
+        node.chars = sum(len(_BLANK.sub(" ", x).strip()) for x in node.items if isinstance(x, str)) + sum(x.chars for x in children)
+        node.links = node.chars if node.tag == "a" else sum(x.links for x in children)
+
+
+def drop_named(root: Node) -> None:
+    """Drops what its name marks as clutter, but nothing that holds the content.
+
+    A node stays, whatever its name, if it holds a <main>, articles of at least half the text of the
+    page's largest one, or most of the body's text outside links where no article lies beside it. A
+    section that only its id names stays within an article, and where no article lies beside it.
+    """
+    order = _order(root)
+    marked = [n for n in order if n.named and n.tag not in ("article", "main")]
+    if not marked:
+        return
+    _measure(order)
+    body = next((n for n in order if n.tag == "body"), root)
+    plain = body.chars - body.links
+    above: dict[Node, tuple[int, bool]] = {}
+    for node in order:
+        parent = node.parent
+        seen, inside = above[parent] if parent else (0, False)
+        above[node] = seen + (parent is not None and parent.tag in ("article", "main")), inside or parent is not None and parent.tag == "article"
+    # Within each node: articles and mains of any kind, mains, articles that are no comments, and their text.
+    held: dict[Node, list[int]] = {}
+    for node in reversed(order):
+        mine = [sum(x) for x in zip([0] * 4, *(held[c] for c in node.items if isinstance(c, Node) and not c.dropped), strict=True)]
+        held[node] = mine
+        if node.tag == "main":
+            mine[0], mine[1] = mine[0] + 1, mine[1] + 1
+        elif node.tag == "article" and not node.named and not above[node][1]:
+            mine[0], mine[2], mine[3] = mine[0] + 1, mine[2] + 1, node.chars - node.links
+    largest = max((held[n][3] for n in order if n.tag == "article"), default=0)
+    for node in marked:
+        count, mains, articles, text = held[node]
+        beside = held[root][0] - count - above[node][0]
+        if mains or articles and 2 * text >= largest:
+            continue
+        if beside <= 0 and node.chars - node.links >= _LARGE * max(plain, 1):
+            continue
+        node.dropped = not (node.named == "id" and node.tag == "section" and (beside <= 0 or above[node][1]))
+
+
 def main_node(root: Node) -> Node:
     """The subtree with the main content."""
+    drop_named(root)
     order = _order(root)
+    _measure(order)
     for node in reversed(order):
         children = [x for x in node.items if isinstance(x, Node) and not x.dropped]
-        node.chars = sum(len(_BLANK.sub(" ", x).strip()) for x in node.items if isinstance(x, str)) + sum(x.chars for x in children)
         node.tags = len(children) + sum(x.tags for x in children)
-        node.links = node.chars if node.tag == "a" else sum(x.links for x in children)
         node.link_tags = sum(x.link_tags + (x.tag == "a") for x in children)
         node.total = 0.0
     bodies = [n for n in order if n.tag == "body"]

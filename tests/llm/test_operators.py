@@ -199,6 +199,26 @@ def test_main_text():
     assert html_text.main_text("<div>" * 5000 + "deep words" + "</div>" * 5000) == "deep words"
 
 
+LONG = "<p>A paragraph that is long enough to count as the content of this page.</p>"
+
+
+@pytest.mark.parametrize("name", ["wrapper no-sidebar", "container with-sidebar", "page has-side-nav", "sidebar-layout", "nav form"])
+def test_main_text_in_named_wrappers(name):
+    plain = "T " + " ".join([re.sub("<.*?>", "", LONG)] * 3)
+    around = '<nav><a href="/">Home</a></nav><div class="{}">{}<div class="sidebar">Side <a href="/x">x</a></div></div><div class="ad">Buy</div>'
+    for inner in (f"<article><h1>T</h1>{LONG * 3}</article>", f"<main><h1>T</h1>{LONG * 3}</main>", f"<div><h1>T</h1>{LONG * 3}</div>"):
+        assert html_text.main_text(f"<body>{around.format(name, inner)}</body>") == plain
+    comments = f'<section id="comments"><article class="comment">{LONG * 9}</article></section>'
+    assert html_text.main_text(f"<body><article><h1>T</h1>{LONG * 3}</article>{comments}</body>") == plain
+
+
+def test_main_text_keeps_slugs():
+    page = f"""<body><article><h1>T</h1>{LONG}<section id="discussion"><h2 id="related-work">Related work</h2>{LONG}</section>
+    <p id="search-results">Found</p><div class="share">Share it</div></article></body>"""
+    plain = re.sub("<.*?>", "", LONG)
+    assert html_text.main_text(page) == f"T {plain} Related work {plain} Found"
+
+
 def test_main_text_of_pages(spark):
     for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
         text = html_text.main_text(page.html)
