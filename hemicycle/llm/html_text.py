@@ -2,8 +2,9 @@
 
 Every node of the page's tree gets a density: its characters per tag, lowered where many of them are in
 links. A node's density sum is that of its children. On the path from the body to the densest node,
-the least density is the threshold that the main content must reach, and of the nodes that do, the one
-with the largest density sum holds it. What is known not to be content never counts.
+the least density is the threshold that the main content must reach. Within every node that reaches it, the
+subtree with the largest density sum is kept, and what lies between kept subtrees as part of the same text.
+What is known not to be content never counts.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,6 +51,8 @@ _STATE = re.compile(r"(?:^|\s)(?:no|not|has|have|with|without|hide|show)[_-]\S*"
 SLUGGED = INLINE | frozenset("h1 h2 h3 h4 h5 h6 p li dl dt dd blockquote pre figure figcaption table".split())
 #: Share of the body's text outside links that makes a node too large to be left out for its name.
 _LARGE = 2 / 3
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+TEXTUAL = HEADINGS | frozenset("p ul ol dl blockquote pre table figure".split())
 _KEPT = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main|content)(?:$|[\s_-])", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -56,10 +60,10 @@ _BLANK = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "items", "parent", "dropped", "named", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "items", "parent", "dropped", "named", "attributes", "chars", "links", "tags", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool, named: str = ""):
-        self.tag, self.parent, self.dropped, self.named = tag, parent, dropped, named
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, named: str = "", attributes: str = ""):
+        self.tag, self.parent, self.dropped, self.named, self.attributes = tag, parent, dropped, named, attributes
         self.items: list[Node | str] = []
 
 
@@ -135,7 +139,7 @@ def parse(page: str) -> Node:
         named = _named(tag, found[3])
         if tag == "header" and not _inside(node, ("article", "main")):
             named = tag
-        new = Node(tag, node, _hidden(tag, found[3]), named)
+        new = Node(tag, node, _hidden(tag, found[3]), named, found[3])
         node.items.append(new)
         if tag in VOID or found[3].endswith("/") and tag in ("path", "rect", "circle", "use"):
             continue
@@ -212,8 +216,12 @@ def drop_named(root: Node) -> None:
         node.dropped = not (node.named == "id" and node.tag == "section" and (beside <= 0 or above[node][1]))
 
 
-def main_node(root: Node) -> Node:
-    """The subtree with the main content."""
+def main_nodes(root: Node) -> list[Node]:
+    """The subtrees with the main content, in page order.
+
+    A subtree in an article stands for the whole article. Where the densest one is in an article, what is
+    neither in articles nor in its <main> is left out; in a <main> without articles, it is the <main>.
+    """
     drop_named(root)
     order = _order(root)
     _measure(order)
@@ -243,21 +251,151 @@ def main_node(root: Node) -> Node:
         path.append(up.density)
         up = up.parent
     least = min([*path, body.density], default=0.0)
-    best = max((n for n in inside if n.density >= least), key=lambda n: n.total)
+    kept: set[Node] = set()
+    peak: dict[Node, Node] = {}
+    for node in reversed(order):
+        peak[node] = max([node, *(peak[x] for x in node.items if isinstance(x, Node) and not x.dropped)], key=lambda n: n.total)
+    todo = [body]
+    while todo:
+        node = todo.pop()
+        if node.density < least or not node.chars or node in kept:
+            continue
+        kept.add(peak[node])
+        if peak[node] is not node:
+            todo += [x for x in node.items if isinstance(x, Node) and not x.dropped]
     # A block that is cut into sections has its sections as children: the article around them is whole.
-    up = best
-    while up is not None and up is not body:
-        if up.tag in ("article", "main"):
-            return up
+    article, main = _outermost(best, "article"), _outermost(best, "main")
+    articles = [n for n in inside if n.tag == "article" and _outermost(n, "article") is n]
+    spread = [n for n in articles if not n.named and n.chars and 3 * n.links <= n.chars]
+    if article:
+        whole = [article]
+        for node in kept:
+            around = _outermost(node, "article")
+            if around:
+                whole.append(around)
+            elif any(_within(x, node) for x in articles):
+                whole += [x for x in spread if _within(x, node)]
+            elif main and _within(node, main):
+                whole.append(_block(node, body))
+        whole = [n for n in whole if n is article or not n.named]
+    elif main:
+        return [main]
+    elif best is body and (mains := [n for n in inside if n.tag == "main"]):
+        return [max(mains, key=lambda n: n.chars)]
+    elif best is body and 2 * sum(n.chars - n.links for n in spread) >= body.chars - body.links:
+        whole = spread or [body]
+    else:
+        while best.tag in INLINE or best.tag in ("p", "li", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "td", "tr", "tbody", "table", "ul", "ol"):
+            if best is body or best.parent is None:
+                break
+            best = best.parent
+        whole = [best, *(_block(n, body) for n in kept)]
+    chosen = set(whole)
+    chosen = {n for n in chosen if n is body or not _any_above(n, chosen)}
+    return _joined(chosen, body, article is not None)
+
+
+def _outermost(node: Node, tag: str) -> Node | None:
+    found = None
+    up: Node | None = node
+    while up is not None:
+        found = up if up.tag == tag else found
+        up = up.parent
+    return found
+
+
+def _within(node: Node | None, above: Node) -> bool:
+    while node is not None and node is not above:
+        node = node.parent
+    return node is not None
+
+
+def _any_above(node: Node, chosen: set[Node]) -> bool:
+    up = node.parent
+    while up is not None and up not in chosen:
         up = up.parent
-    articles = [n for n in inside if n.tag in ("article", "main")]
-    if best is body and articles:
-        return max(articles, key=lambda n: n.chars)
-    while best.tag in INLINE or best.tag in ("p", "li", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "td", "tr", "tbody", "table", "ul", "ol"):
-        if best is body or best.parent is None:
-            break
-        best = best.parent
-    return best
+    return up is not None
+
+
+def _block(node: Node, body: Node) -> Node:
+    """The block around inline elements and parts of a list or table."""
+    up = node
+    while up.tag in INLINE or up.tag in ("li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot"):
+        if up.parent is None or up.parent is body:
+            return node if up.tag in INLINE else up
+        up = up.parent
+    return up
+
+
+def _alike(node: Node) -> tuple[str, str] | None:
+    """What repeated parts of a text have in common: their tag and class; none for a bare <div>."""
+    kind = next((a or b or c for name, a, b, c in _ATTRIBUTE.findall(node.attributes) if name.lower() == "class"), "")
+    return (node.tag, kind) if kind or node.tag in ("section", "article") else None
+
+
+def _joined(chosen: set[Node], body: Node, articles: bool) -> list[Node]:
+    """The chosen subtrees in page order, with the headings, texts and like parts beside them, unless those are links."""
+    if not chosen or body in chosen:
+        return list(chosen)
+    paths: dict[Node, int] = {}
+    for node in chosen:
+        up = node.parent
+        while up is not None:
+            paths[up] = paths.get(up, 0) + 1
+            up = up.parent
+    top = next(iter(chosen)).parent
+    while top is not None and paths[top] < len(chosen):
+        top = top.parent
+    out: list[Node] = []
+    todo: list[Node] = [top]
+    while todo:
+        node = todo.pop()
+        if node not in paths:
+            out.append(node)
+            continue
+        items = _runs(node, lambda x: x in chosen or x in paths)
+        places = [i for i, x in enumerate(items) if x in chosen or x in paths]
+        alike = {_alike(x) for x in items if x in chosen} - {None}
+        more = []
+        for i, x in enumerate(items):
+            if i in places:
+                more.append(x)
+            elif not x.chars or 2 * x.links > x.chars or x.named and x.tag == "article":
+                continue
+            elif x.tag in HEADINGS and i < places[-1]:
+                if not (articles and (node is body or len(chosen) == 1)):
+                    more.append(x)
+            elif _alike(x) in alike:
+                more.append(x)
+            elif not articles and (x.tag in TEXTUAL or x.tag == "#run") and (node is not body or places[0] < i < places[-1]):
+                more.append(x)
+        todo += reversed(more)
+    return out
+
+
+def _runs(node: Node, alone: Callable[[Node], bool]) -> list[Node]:
+    """The blocks of a node and what stands alone; text and inline elements between them as one node each."""
+    found: list[Node] = []
+    for x in node.items:
+        if isinstance(x, Node) and (x.dropped or x.tag not in INLINE or alone(x)):
+            if not x.dropped:
+                found.append(x)
+            elif x.tag not in INLINE:
+                found.append(_run())
+            continue
+        if not found or found[-1].tag != "#run":
+            found.append(_run())
+        run = found[-1]
+        run.items.append(x)
+        run.chars += len(_BLANK.sub(" ", x).strip()) if isinstance(x, str) else x.chars
+        run.links += 0 if isinstance(x, str) else x.links
+    return found
+
+
+def _run() -> Node:
+    run = Node("#run", None, False)
+    run.chars = run.links = 0
+    return run
 
 
 def blocks(node: Node) -> list[str]:
@@ -293,7 +431,7 @@ def blocks(node: Node) -> list[str]:
 
 def main_text(page: str | None) -> str:
     """Main text of a page; empty if it has none."""
-    return " ".join(blocks(main_node(parse(page)))) if page else ""
+    return " ".join(x for node in main_nodes(parse(page)) for x in blocks(node)) if page else ""
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -219,6 +219,27 @@ def test_main_text_keeps_slugs():
     assert html_text.main_text(page) == f"T {plain} Related work {plain} Found"
 
 
+def test_main_text_of_parts():
+    def part(name, n=5, size=400):
+        return "".join(f"<p>{(name + str(i) + ' word' * size)[:size]}</p>" for i in range(n))
+
+    def plain(*parts):
+        return " ".join(re.sub("<.*?>", " ", "".join(parts)).split())
+
+    menu = "<div>" + "".join(f'<a href="/{i}">Entry {i}</a> ' for i in range(9)) + "</div>"
+    parts = [part("a"), part("b"), part("c", 9, 80)]
+    for tag in ("section", 'div class="part"', "article", 'article class="post"'):
+        cut = [f"<{tag}><h2>H</h2>{x}</{tag.split()[0]}>" for x in parts]
+        for around in ("<body>{}{}</body>", '<body>{}<div class="wrap">{}</div></body>', "<body>{}<main>{}</main></body>"):
+            assert html_text.main_text(around.format(menu, "".join(cut))) == plain(*cut)
+    cut = [f"<section>{x}</section>" for x in parts]
+    assert html_text.main_text(f'<body>{menu}<div class="wrap"><h1>T</h1>{"<p>Short.</p>".join(cut)}</div></body>') == plain("<h1>T</h1>", "<p>Short.</p>".join(cut))
+    far = f'<div><div><section>{parts[0]}</section></div>{menu}<div><div>{parts[1]}</div></div></div>'
+    assert html_text.main_text(f"<body>{menu}{far}</body>") == plain(parts[0], parts[1])
+    inline = html_text.main_text(f"<body><span>{'bold text here ' * 40}</span><div>{parts[0]}</div><a href=x>x</a></body>")
+    assert inline == plain("bold text here " * 40, parts[0])
+
+
 def test_main_text_of_pages(spark):
     for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
         text = html_text.main_text(page.html)
