@@ -2,8 +2,8 @@
 
 A fingerprint has the least value of the shingles of a text, runs of nine bytes, under each of 64
 universal hash permutations, computed in numpy. The share of equal places of two fingerprints
-estimates the Jaccard similarity of the shingle sets. Bands of a fingerprint find alike documents by
-a join, and the full sets confirm them.
+estimates the Jaccard similarity of the shingle sets. Bands of a longer signature find alike documents
+by a join, and the full sets confirm them.
 """
 
 from __future__ import annotations
@@ -16,12 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemicycle.llm.common import as_bytes, components, mixed, rolling, small_batches
+from hemicycle.llm import minhash
+from hemicycle.llm.common import as_bytes, components, rolling, small_batches
 from hemicycle.session import stored
 
 SHINGLE = 9
 PERMUTATIONS = 64
-BANDS = 16
+#: Bands of four values, least and greatest ones, that find alike texts.
+BANDS = 40
+ROWS = 4
 PERCENT = 75
 #: Ranges of document ids; a range is read as a stream, so its length costs no memory.
 RANGES = 1024
@@ -126,14 +129,17 @@ def edited_fingerprints(docs: DataFrame, ranges: int = RANGES) -> DataFrame:
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    factors, masks = minhash.permutations(BANDS * ROWS // 2)
     for batch in batches:
-        keys = []
-        for text in as_bytes(batch.column("text")):
-            key = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
-            for part in signature(text or b"").reshape(BANDS, -1).T.astype(np.uint64):
-                key = mixed(key ^ part)
-            keys.append(key.view(np.int64) if text else None)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "bands"])
+        signs = (minhash.min_max_signature(np.unique(shingles(t)), factors, masks) for t in as_bytes(batch.column("text")))
+        keys = [minhash.band_hashes(sign, BANDS, ROWS).view(np.int64) for sign in signs]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(keys, pa.list_(pa.int64()))], ["id", "bands"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [np.unique(shingles(t)).view(np.int64) for t in as_bytes(batch.column("text"))]
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(found, pa.list_(pa.int64()))], ["id", "shingles"])
 
 
 def _jaccard(percent: int):
@@ -150,21 +156,41 @@ def _jaccard(percent: int):
 
 
 def alike(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, class_id``: documents that share a band with a bucket's first one, confirmed by Jaccard.
+    """``doc_id, class_id``: the least id that links reach; texts of ``percent`` Jaccard similarity are linked.
 
-    The class is the least id that confirmed links reach. Empty texts and null ids are alone.
+    Texts that share a band are candidates: each is compared with its bucket's first one, and what a
+    bucket leaves in different components is compared in blocks, so no link within the buckets is lost.
+    A pair at exactly 0.75 shares no band with probability 2.5e-7. Equal texts are one; rows of one id
+    are one document. Empty texts and null ids are alone.
     """
     small_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    bands = rows.mapInArrow(_banded, "doc_id long, bands array<long>").select("doc_id", F.explode("bands").alias("band"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text <> ''")
+    rows = rows.withColumn("key", F.sha2("text", 256))
+    keys = stored(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "fingerprint_keys")
+    # Written, as the numbers of a repeated run could be others.
+    ids = stored(keys.withColumn("id", F.monotonically_increasing_id()), "fingerprint_ids")
+    members = stored(rows.select("doc_id", "key").join(ids.select("key", "id"), "key").select("doc_id", "id").distinct(), "fingerprint_members")
+    texts = stored(rows.join(ids, ["key", "doc_id"]).dropDuplicates(["id"]).select("id", "text"), "fingerprint_texts")
+    bands = texts.mapInArrow(_banded, "id long, bands array<long>").select("id", F.explode("bands").alias("band"))
     bands = stored(bands, "fingerprint_bands")
-    firsts = stored(bands.groupBy("band").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1"), "fingerprint_buckets")
-    pairs = bands.join(firsts, "band").filter("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    firsts = stored(bands.groupBy("band").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1"), "fingerprint_buckets")
+    shared = stored(bands.join(firsts, "band").select("band", "id", "first"), "fingerprint_shared")
+    pairs = shared.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
     pairs = stored(pairs, "fingerprint_pairs")
-    texts = pairs.join(rows.select(F.col("doc_id").alias("b"), F.col("text").alias("of_b")), "b")
-    texts = texts.join(rows.select(F.col("doc_id").alias("a"), F.col("text").alias("of_a")), "a")
-    edges = stored(texts.filter(_jaccard(percent)("of_a", "of_b")).select("a", "b"), "fingerprint_links")
-    named = components(edges, "fingerprint_classes").withColumnRenamed("id", "doc_id")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(named, "doc_id", "left").select(
-        "doc_id", F.coalesce("component", "doc_id").alias("class_id")
+    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("of_b")), "b")
+    both = both.join(texts.select(F.col("id").alias("a"), F.col("text").alias("of_a")), "a")
+    edges = both.filter(_jaccard(percent)("of_a", "of_b")).select("a", "b")
+    same = members.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("high")).filter("a < high")
+    edges = stored(edges.union(members.join(same, "doc_id").filter("id <> a").select("a", F.col("id").alias("b"))), "fingerprint_links")
+    named = components(edges, "fingerprint_classes")
+    apart = stored(minhash.apart_in_buckets(shared.select("band", F.col("id").alias("rep")), named), "fingerprint_apart")
+    if not apart.isEmpty():
+        sets = stored(texts.join(apart.select("id"), "id", "left_semi").mapInArrow(_sets, "id long, shingles array<long>"), "fingerprint_sets")
+        found = minhash.block_links(sets, apart, minhash.rare_shingles(sets, apart, percent), percent)
+        named = components(edges.union(found), "fingerprint_classes")
+    placed = stored(members.join(named, "id", "left").select("doc_id", F.coalesce("component", "id").alias("component")).distinct(), "fingerprint_placed")
+    least = placed.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    classes = placed.join(least, "component").select("doc_id", "class_id")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(classes, "doc_id", "left").select(
+        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id")
     )

@@ -150,14 +150,14 @@ def links(docs: DataFrame, reps: DataFrame, percent: int = PERCENT) -> DataFrame
     sets = stored(texts.mapInArrow(_sets, "id long, pivot boolean, shingles array<long>"), "minhash_sets")
     edges = stored(confirmed(sets, pairs, percent), "minhash_edges")
     named = components(edges, "minhash_components")
-    apart = stored(_apart(members.select("band", "rep"), named), "minhash_apart")
+    apart = stored(apart_in_buckets(members.select("band", "rep"), named), "minhash_apart")
     if apart.isEmpty():
         return named
     found = block_links(sets, apart, rare_shingles(sets, apart, percent), percent)
     return components(edges.union(found), "minhash_components")
 
 
-def _apart(members: DataFrame, named: DataFrame) -> DataFrame:
+def apart_in_buckets(members: DataFrame, named: DataFrame) -> DataFrame:
     """Classes ``(id, component)`` in the buckets that hold more than one component."""
     labelled = members.join(named.select(F.col("id").alias("rep"), "component"), "rep", "left")
     labelled = stored(labelled.withColumn("component", F.coalesce("component", "rep")), "minhash_labelled")

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as driver
@@ -108,6 +109,39 @@ def test_alike_texts(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
 
 
+@pytest.mark.parametrize("one_bucket", [False, True])
+def test_alike_texts_by_brute_force(spark, monkeypatch, one_bucket):
+    """Texts that all share half of their words, in groups; with one bucket its first text links to one group only."""
+
+    def banded(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([[1]] * batch.num_rows, pa.list_(pa.int64()))], [batch.schema.names[0], "bands"])
+
+    if one_bucket:
+        monkeypatch.setattr(fingerprints, "_banded", banded)
+    draw = np.random.default_rng(5)
+
+    def words(n):
+        return " ".join(map(str, draw.integers(1000, 9999, n)))
+
+    common = words(120)
+    rows = []
+    for group in range(40):
+        own = words(45)
+        rows += [(1000 * k + group, f"{common} {own} {words(4)}") for k in range(3)]
+    rows += [rows[7], (9000, rows[7][1]), (rows[3][0], "another text of the id"), (9001, "another text of the id"), (None, common)]
+    sets = [(i, set(fingerprints.shingles(t.encode()).tolist())) for i, t in rows if i is not None]
+    label = {i: i for i, _ in sets}
+    for i, x in sets:
+        for j, y in sets:
+            if i < j and 100 * len(x & y) >= 75 * len(x | y):
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    assert len(set(label.values())) == 40
+    got = fingerprints.alike(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and {r.doc_id: r.class_id for r in got} == {**label, None: None}
+
+
 def test_queries_with_sql(spark):
     duck = connect(FOLDER)
     for name in ("op4_top_scores", "op9_mixing"):
