@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import html
 import re
 import zlib
 
@@ -314,3 +315,79 @@ def test_stages_keep_columns(spark, odd, none):
 
 def test_pipeline(spark):
     assert driver.queries()["pipeline"](spark, FOLDER).count() > 0
+
+
+def plain_scores(texts, labels):
+    """Scores of the discriminant by covariances, determinants and solved systems."""
+    x = {i: np.array(quality.statistics(t.encode())) for i, t in texts.items()}
+    rows = {k: np.array([x[i] for i, q in labels.items() if q == k and i in x and zlib.crc32(str(i).encode()) % 4 != 2]) for k in (0, 1)}
+    cov = {k: np.cov(v.T, bias=True) for k, v in rows.items()}
+    n = {k: len(v) for k, v in rows.items()}
+    both = (n[0] * cov[0] + n[1] * cov[1]) / (n[0] + n[1])
+    odds = {i: np.log((n[1] + 1) / (n[0] + 1)) for i in x}
+    for k, sign in ((0, -1), (1, 1)):
+        c = 0.8 * cov[k] + 0.2 * both
+        c = 0.9 * c + np.diag(0.1 * np.diag(c) + 1e-4 + 1e-3 * np.diag(both))
+        for i, v in x.items():
+            d = v - rows[k].mean(axis=0)
+            odds[i] += sign * -0.5 * (np.linalg.slogdet(c)[1] + d @ np.linalg.solve(c, d))
+    return {i: 1 / (1 + np.exp(-np.clip(o, -50, 50))) for i, o in odds.items()}
+
+
+def test_quality_scores(spark, texts):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    scores = plain_scores(texts, labels)
+    got = found(spark, "op6_quality")
+    assert set(got) == set(scores) and all(abs(got[i].score - v) < 1e-9 and got[i].predicted == (v >= 0.7) for i, v in scores.items())
+
+
+def test_pipeline_by_brute_force(spark):
+    """All five stages in plain Python; every row of run() with its count of copies."""
+    from tokenizers import Tokenizer
+
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    scores = plain_scores({i: r.text for i, r in docs.items()}, labels)
+    good = sorted(i for i in docs if scores[i] >= 0.7)
+    sets = {}
+    for i in good:
+        w = docs[i].text.encode().lower().split()
+        sets[i] = {tuple(w[j : j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    label = {i: i for i in good}
+    for n, i in enumerate(good):
+        for j in good[n + 1 :]:
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    words = {i: docs[i].text.encode().split() for i in good if label[i] == i}
+    seen = collections.Counter(tuple(w[j : j + 35]) for w in words.values() for j in range(len(w) - 34))
+    left = {}
+    for i, w in words.items():
+        cut = {p for j in range(len(w) - 34) if seen[tuple(w[j : j + 35])] > 1 for p in range(j, j + 35)}
+        left[i] = b" ".join(x for p, x in enumerate(w) if p not in cut).decode() if cut else docs[i].text
+    size = {i: len(t.encode().split()) for i, t in left.items()}
+    names = sorted({docs[i].source for i in left})
+    own = {s: sum(size[i] for i in left if docs[i].source == s) for s in names}
+    weight = {s: n % 3 + 1 for n, s in enumerate(names)}
+    order = sorted(names, key=lambda s: (3 * own[s] / weight[s], names.index(s)))
+    levels = [(sum(own.values()) - sum(3 * own[o] for o in order[:n])) / sum(weight[o] for o in order[n:]) for n in range(len(order))]
+    level = max(v for s, v in zip(order, levels, strict=True) if v * weight[s] <= 3 * own[s])
+    library = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+    expected = collections.Counter()
+    for s in names:
+        rate = min(float(3 * own[s]), level * weight[s]) / own[s]
+        shift = int(hashlib.md5(b"s" + s.encode()).hexdigest()[:6], 16) / (1 << 24)
+        for at, i in enumerate(sorted((i for i in left if docs[i].source == s), key=lambda i: (size[i], i))):
+            copies = min(3, int((at + 1) * rate + shift) - int(at * rate + shift))
+            if copies:
+                ids = library.encode(left[i], add_special_tokens=False).ids
+                expected[i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()] = copies
+    assert 0 < len(left) < len(good) < len(docs)
+    assert collections.Counter(tuple(r)[:3] for r in corpus_pipeline.run(spark, FOLDER).collect()) == expected
+
+
+def test_main_text_is_that_of_the_article(spark):
+    for page in spark.read.parquet(f"{FOLDER}/pages.parquet").collect():
+        article = re.search(r"<article>(.*?)</article>", page.html, re.S)
+        plain = html.unescape(re.sub(r"<(script|style|form)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ", article[1], flags=re.S)) if article else ""
+        assert "".join(html_text.main_text(page.html).split()) == "".join(plain.split())
