@@ -26,8 +26,10 @@ EVERY = 50
 SHARD, LEAF, BLOCK = 8192, 256, 512
 #: Shards that one task searches one after the other, with the kth scores taken along.
 CHAIN = 16
-#: Whole numbers up to this size have exact products and sums in double precision (64 dimensions).
-_LARGEST = 1 << 23
+#: Sums of products below this size are exact in double precision.
+_EXACT = 2.0**53
+#: The score of no vector; all others are greater.
+_NONE = -(2**63 - 1)
 
 
 def quantised(vectors: list) -> np.ndarray:
@@ -37,8 +39,28 @@ def quantised(vectors: list) -> np.ndarray:
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     out = np.floor(out * SCALE)
-    if out.size and np.abs(out).max() * np.sqrt(max(width, 1) / 64) >= _LARGEST:
-        raise ValueError(f"components must be below {_LARGEST // SCALE} in absolute value")
+    if not np.isfinite(out).all():
+        raise ValueError(f"components times {SCALE} must be finite")
+    return out
+
+
+def _largest(points: np.ndarray) -> float:
+    return float(np.abs(points).max()) if points.size else 0.0
+
+
+def products(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers of any size, as 64-bit integers; an error if one does not fit."""
+    if _largest(queries) * _largest(points) * queries.shape[1] < _EXACT:
+        return (queries @ points.T).astype(np.int64)
+    size = np.abs(queries) @ np.abs(points).T
+    # Below 2^62 no sum leaves 64 bits, and a component beyond that has only zeros to meet.
+    short = [np.where(np.abs(x) < 2.0**62, x, 0).astype(np.int64) for x in (queries, points)]
+    out = short[0] @ short[1].T
+    for i, j in zip(*np.nonzero(size >= 2.0**61), strict=True):
+        score = sum(int(a) * int(b) for a, b in zip(queries[i], points[j], strict=True))
+        if abs(score) >= -_NONE:
+            raise ValueError("a score does not fit into 64 bits")
+        out[i, j] = score
     return out
 
 
@@ -85,7 +107,10 @@ class Tree:
     def search(self, query_ids: np.ndarray, queries: np.ndarray, scores: np.ndarray, found: np.ndarray) -> None:
         """Improves the best scores and ids of each query, in descending order of score, then by id."""
         top = scores.shape[1]
-        bounds = self.bounds(queries, scores[:, -1])
+        if _largest(queries) * _largest(self.points) * queries.shape[1] < _EXACT:
+            bounds = self.bounds(queries, scores[:, -1])
+        else:  # bounds would be rounded
+            bounds = np.full((len(queries), len(self.ends) - 1), np.inf)
         visits = np.argsort(-bounds, axis=1, kind="stable")
         for turn in range(bounds.shape[1]):
             leaf = visits[:, turn]
@@ -98,8 +123,8 @@ class Tree:
                 mine = live[leaf[live] == number]
                 span = slice(self.ends[number], self.ends[number + 1])
                 ids = self.ids[span]
-                new = queries[mine] @ self.points[span].T
-                new[query_ids[mine][:, None] == ids[None, :]] = -np.inf
+                new = products(queries[mine], self.points[span])
+                new[query_ids[mine][:, None] == ids[None, :]] = _NONE
                 # Only points at or above the kth score enter the exact order.
                 all_scores = np.concatenate([scores[mine], new], axis=1)
                 all_ids = np.concatenate([found[mine], np.broadcast_to(ids, new.shape)], axis=1)
@@ -143,10 +168,10 @@ def _searched(top: int):
 
         def give() -> pa.RecordBatch:
             ids, _, scores, found = state
-            real = np.isfinite(scores)
+            real = scores > _NONE
             query = np.repeat(ids, real.sum(axis=1))
             return pa.RecordBatch.from_arrays(
-                [pa.array(query, pa.int64()), pa.array(found[real], pa.int64()), pa.array(scores[real].astype(np.int64))],
+                [pa.array(query, pa.int64()), pa.array(found[real], pa.int64()), pa.array(scores[real])],
                 ["query_id", "vec_id", "score"],
             )
 
@@ -157,7 +182,7 @@ def _searched(top: int):
                     if state:
                         yield give()
                     ids, points = pickle.loads(batch.column("queries")[i].as_py())
-                    state = (ids, points, np.full((len(ids), top), -np.inf), np.full((len(ids), top), np.iinfo(np.int64).max))
+                    state = (ids, points, np.full((len(ids), top), _NONE), np.full((len(ids), top), np.iinfo(np.int64).max))
                     block = key
                 tree = pickle.loads(batch.column("packed")[i].as_py())
                 ids, points, scores, found = state
@@ -180,7 +205,8 @@ def top_scores(vectors: DataFrame, every: int = EVERY, top: int = TOP) -> DataFr
     Rows with a null id, a null vector or a null or non-finite component take no part; an empty vector
     scores 0. A vector shorter than the other counts as filled up with zeros. Rows that repeat an id are
     candidates of their own, none of them of that id's query, which is asked once for each distinct
-    vector. An empty table gives an empty table.
+    vector. Scores are exact for components of any size; one that does not fit into 64 bits is an error.
+    An empty table gives an empty table.
     """
     # Fewer rows than a batch usually has: a row here is a whole tree.
     small = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))

@@ -158,6 +158,25 @@ def test_top_scores_odd(spark, monkeypatch):
     assert nearest.top_scores(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_top_scores_of_large_components(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "SHARD", 3)
+    monkeypatch.setattr(nearest, "LEAF", 1)
+    draw = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in draw.normal(size=5)]) for i in range(60)]
+    rows += [(60, [40000.0, 1.0, 0.5, 0.0, 3.0]), (61, [0.0, 1e6 + 0.25, 7e5, 0.0, -2e6]), (62, [0.0, 1e6, 7e5, 1.0, -2e6]), (100, [3e5, 1e6, 1e6, 1.0, 1e5 + 1 / 3]), (150, [0.0] * 5)]
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    expected = []
+    for q in (i for i in whole if i % 50 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q)
+        expected += [(q, rank, i, -score) for rank, (score, i) in enumerate(scores[:5], 1)]
+    got = nearest.top_scores(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, got.collect())) == sorted(expected)
+    big = np.array([[2.0**70, 3.0], [2.0**40 + 1, 2.0**21 + 1]])
+    assert nearest.products(big, np.array([[0.0, 5.0], [0.0, 2.0**33 + 1]])).tolist() == [[15, 3 * (2**33 + 1)], [5 * (2**21 + 1), (2**21 + 1) * (2**33 + 1)]]
+    with pytest.raises(ValueError):
+        nearest.products(big, np.array([[1.0, 0.0]]))
+
+
 def test_token_counts(spark, texts):
     import sentencepiece
 
