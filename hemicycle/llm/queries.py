@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import bpe, fingerprints, html_text, minhash, mixing, nearest, quality, sharding, substrings, token_counts
+from hemicycle.llm import bpe, fingerprints, html_text, minhash, mixing, nearest, quality, sharding, simhash, substrings, token_counts
 from hemicycle.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,9 @@ FROM scored QUALIFY rank <= 5
 def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
     return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
+@query
+def op13_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and the components of those at most three bits apart."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
