@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hemicycle.llm import bpe, fingerprints, html_text, minhash, mixing, nearest, quality, sharding, simhash, substrings, token_counts
+from hemicycle.llm import alignment, bpe, fingerprints, html_text, minhash, mixing, nearest, quality, sharding, simhash, substrings, token_counts, vector_codes
 from hemicycle.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,15 @@ def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op13_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and the components of those at most three bits apart."""
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of two vocabularies aligned in every document, with the corpus-wide counts of their links."""
+    return alignment.aligned(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of every vector by four codebooks of 256 entries, and their errors."""
+    return vector_codes.compressed(spark.read.parquet(f"{folder.rstrip('/')}/embeddings.parquet"))
