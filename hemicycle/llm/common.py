@@ -20,6 +20,8 @@ BATCH_ROWS = 256
 STEP_WORDS = 1 << 20
 #: Entries of a worker's cache before it is emptied.
 CACHE_ENTRIES = 400_000
+#: Bytes of a word that is kept: text without blanks is one word of any length.
+LONGEST = 64
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -45,12 +47,14 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
 
 
 class WordHashes(dict):
-    """64-bit hashes of words, kept until the cache is full."""
+    """64-bit hashes of words; those of short words are kept until the cache is full."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= LONGEST:
+            self[word] = value
         return value
 
 

@@ -6,13 +6,18 @@ minimisers, so a window whose minimiser occurs once in the corpus is unique and
 
 1. every super-k-mer sends only its minimiser; those that occur again are found by a count that
    combines in the map task;
-2. the super-k-mers with such a minimiser travel as one packed string of word hashes to the bucket
-   of the minimiser, where the windows are sorted and counted;
-3. minimisers with more than ``hot`` super-k-mers would fill one bucket; their windows are counted
-   one by one instead, with map-side combining and a join that Spark can split;
-4. runs of repeated windows go back to their document, whose covered words are left out.
-
-Words are compared by 64-bit hashes, windows by two 64-bit hashes of those.
+2. the super-k-mers with such a minimiser travel as one packed string of word hashes. Equal ones become
+   one row with a multiplicity, so a passage that many documents share is counted once;
+3. in the bucket of the minimiser the windows of the distinct super-k-mers are sorted and counted by
+   their multiplicities;
+4. a minimiser with more than ``LIMIT`` distinct super-k-mers would fill a task. They are cut again by
+   a second minimiser of longer runs and another seed, and the shorter pieces are counted in the same
+   way. The runs grow with every turn up to whole windows, when a bucket is a single window;
+5. the runs of repeated windows go back to the super-k-mers by their digest, and to the documents, whose
+   covered words are left out.
+
+Words are compared by 64-bit hashes, windows and super-k-mers by two 64-bit hashes of those, rows by two
+64-bit hashes of id and text.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +38,8 @@ WINDOW = 35
 MINIMISER = 8
 #: Windows of a super-k-mer at most; a longer run of equal minimisers is cut, nothing is lost.
 RUN = 256
-#: Super-k-mers of a minimiser that one bucket takes.
-HOT = 128
+#: Distinct super-k-mers of a minimiser that one bucket takes.
+LIMIT = 2048
 
 _CACHE = WordHashes()
 
@@ -47,7 +53,7 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(low[:n], low[w - size : w - size + n])
 
 
-def super_kmers(words: np.ndarray, counts: np.ndarray, k: int = WINDOW, m: int = MINIMISER):
+def super_kmers(words: np.ndarray, counts: np.ndarray, k: int = WINDOW, m: int = MINIMISER, seed: int = 3):
     """Row, first word in the row, windows, and minimiser of each super-k-mer; and the first word overall.
 
     The texts lie one after the other in ``words``; no window crosses from one to the next.
@@ -56,7 +62,7 @@ def super_kmers(words: np.ndarray, counts: np.ndarray, k: int = WINDOW, m: int =
     if len(words) < k:
         return none, none, none, none.astype(np.uint64), none
     row = np.repeat(np.arange(len(counts)), counts)
-    low = sliding_min(rolling(words, m, seed=3), k - m + 1)
+    low = sliding_min(rolling(words, m, seed), k - m + 1)
     at = np.flatnonzero(row[: len(low)] == row[k - 1 :])
     if not len(at):
         return none, none, none, none.astype(np.uint64), none
@@ -85,12 +91,25 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [t or b"" for t in as_bytes(batch.column("text"))]
 
 
+def _packed(words: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[list[bytes], pa.Array, pa.Array]:
+    """The words of the spans as bytes, and the two halves of their digests."""
+    places, heads = _spans(begin, size)
+    raw, ends = words[places].tobytes(), (8 * np.append(heads, int(size.sum()))).tolist()
+    strings = [raw[i:j] for i, j in zip(ends, ends[1:], strict=False)]
+    halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, strings)), np.int64).reshape(-1, 2)
+    return strings, pa.array(np.ascontiguousarray(halves[:, 0])), pa.array(np.ascontiguousarray(halves[:, 1]))
+
+
+def _numbers(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+
+
 def _announce(k: int, m: int):
     """Of every super-k-mer: document key, first word, minimiser, and whether it may repeat inside."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, keys = _texts(batch), batch.column("key").to_numpy(zero_copy_only=False)
+            texts, (keys, also) = _texts(batch), _numbers(batch, "key", "also")
             for part in steps(texts):
                 words, counts = word_hashes(texts[part], _CACHE)
                 row, start, length, value, begin = super_kmers(words, counts, k, m)
@@ -101,157 +120,184 @@ def _announce(k: int, m: int):
                 same = np.add.reduceat(runs[places] == np.repeat(value, length + (k - m)), heads)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(value.view(np.int64)), pa.array(keys[part][row]), pa.array(start.astype(np.int32)),
-                        pa.array(np.minimum(same, 2).astype(np.int32)),
+                        pa.array(value.view(np.int64)), pa.array(keys[part][row]), pa.array(also[part][row]),
+                        pa.array(start.astype(np.int32)), pa.array(np.minimum(same, 2).astype(np.int32)),
                     ],
-                    ["minimiser", "key", "start", "weight"],
+                    ["minimiser", "key", "also", "start", "weight"],
                 )
 
     return run
 
 
 def _pack(k: int, m: int):
-    """The announced super-k-mers that travel: packed words, or single windows where the minimiser is hot."""
+    """The announced super-k-mers that travel, with their digests and packed words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, keys = _texts(batch), batch.column("key").to_numpy(zero_copy_only=False)
+            texts, (keys, also) = _texts(batch), _numbers(batch, "key", "also")
             wanted = batch.column("starts")
             ends = wanted.offsets.to_numpy()
-            marks = wanted.values.to_numpy(zero_copy_only=False)
+            asked = wanted.values.to_numpy(zero_copy_only=False)
             for part in steps(texts):
                 words, counts = word_hashes(texts[part], _CACHE)
                 row, start, length, value, begin = super_kmers(words, counts, k, m)
-                low, high = ends[part.start], ends[part.stop]
-                asked = marks[low:high]  # 2 * start + (1 if hot)
                 owner = np.repeat(np.arange(len(counts)), np.diff(ends[part.start : part.stop + 1]))
-                code = owner * (1 << 40) + asked // 2
-                order = np.argsort(code)
-                code, hot_of = code[order], (asked % 2).astype(bool)[order]
-                mine = row * (1 << 40) + start
-                place = np.searchsorted(code, mine)
-                hit = (place < len(code)) & (code[np.minimum(place, len(code) - 1)] == mine) if len(code) else np.zeros(len(mine), bool)
-                hot = np.zeros(len(mine), bool)
-                hot[hit] = hot_of[place[hit]]
-                cold = np.flatnonzero(hit & ~hot)
-                if len(cold):
-                    size = length[cold] + (k - 1)
-                    places, heads = _spans(begin[cold], size)
-                    packed = pa.Array.from_buffers(
-                        pa.binary(), len(cold),
-                        [None, pa.py_buffer((np.append(heads, int(size.sum())) * 8).astype(np.int32)), pa.py_buffer(words[places])],
-                    )
-                    yield _rows(value[cold], np.zeros(len(cold), np.uint64), False, keys[part][row[cold]], start[cold], packed)
-                warm = np.flatnonzero(hit & hot)
-                if len(warm):
-                    one, two = rolling(words, k, seed=5), rolling(words, k, seed=7)
-                    places, _ = _spans(begin[warm], length[warm])
-                    inner, _ = _spans(start[warm], length[warm])
-                    owners = np.repeat(row[warm], length[warm])
-                    yield _rows(one[places], two[places], True, keys[part][owners], inner, pa.nulls(len(places), pa.binary()))
+                marks = owner * (1 << 40) + asked[ends[part.start] : ends[part.stop]]
+                at = np.flatnonzero(np.isin(row * (1 << 40) + start, marks))
+                if not len(at):
+                    continue
+                strings, one, two = _packed(words, begin[at], length[at] + (k - 1))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(value[at].view(np.int64)), one, two, pa.array(keys[part][row[at]]), pa.array(also[part][row[at]]),
+                        pa.array(start[at].astype(np.int32)), pa.array(strings, pa.binary()),
+                    ],
+                    ["minimiser", "one", "two", "key", "also", "start", "words"],
+                )
 
     return run
 
 
-def _rows(one, two, hot, keys, start, packed) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(np.full(len(one), hot)),
-            pa.array(keys), pa.array(start.astype(np.int32)), packed,
-        ],
-        ["one", "two", "hot", "key", "start", "words"],
-    )
+def _recut(k: int, m: int):
+    """Crowded super-k-mers cut by longer runs: pieces with where they lie in the whole and its multiplicity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            strings = batch.column("words").to_pylist()
+            if not strings:
+                continue
+            words = np.frombuffer(b"".join(strings), np.uint64)
+            counts = np.array([len(x) // 8 for x in strings])
+            minimiser, one, two, n = _numbers(batch, "minimiser", "one", "two", "n")
+            row, start, length, value, begin = super_kmers(words, counts, k, m, seed=3 + m)
+            # The new value goes on top of the old one: equal windows have both in common.
+            value = mixed(value ^ mixed(minimiser.view(np.uint64))[row])
+            pieces, piece_one, piece_two = _packed(words, begin, length + (k - 1))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(value.view(np.int64)), piece_one, piece_two, pa.array(one[row]), pa.array(two[row]),
+                    pa.array(start.astype(np.int32)), pa.array(n[row]), pa.array(pieces, pa.binary()),
+                ],
+                ["minimiser", "one", "two", "whole_one", "whole_two", "start", "n", "words"],
+            )
+
+    return run
 
 
 def _count(k: int):
-    """Sorts the windows of each minimiser and gives the runs of those that occur more than once.
+    """Sorts the windows of each minimiser and gives the runs of those that occur more than once, by super-k-mer.
 
     The rows come sorted by minimiser; those of the last one in a batch wait for the next batch.
     """
 
-    def counted(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch | None:
-        words = np.frombuffer(b"".join(r[3] for r in rows), np.uint64)
-        counts = np.array([len(r[3]) // 8 for r in rows])
+    def counted(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+        words = np.frombuffer(b"".join(r[4] for r in rows), np.uint64)
+        counts = np.array([len(r[4]) // 8 for r in rows])
         windows = counts - (k - 1)
         places, _ = _spans(np.cumsum(counts) - counts, windows)
         one, two = rolling(words, k, seed=5)[places], rolling(words, k, seed=7)[places]
+        owner = np.repeat(np.arange(len(rows)), windows)
         order = np.lexsort((two, one))
         a, b = one[order], two[order]
-        equal = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        times = np.add.reduceat(np.array([r[3] for r in rows])[owner[order]], np.flatnonzero(new))
         again = np.zeros(len(a), bool)
-        again[order[1:][equal]] = True
-        again[order[:-1][equal]] = True
-        owner = np.repeat(np.arange(len(rows)), windows)
+        again[order] = (times > 1)[np.cumsum(new) - 1]
         start = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
         at = np.flatnonzero(again)
-        if not len(at):
-            return None
-        new = np.ones(len(at), bool)
-        new[1:] = (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]])
-        first = np.flatnonzero(new)
-        own = owner[at[first]]
-        begin = np.array([r[2] for r in rows])[own] + start[at[first]]
+        first = at[np.append(True, (at[1:] != at[:-1] + 1) | (owner[at[1:]] != owner[at[:-1]]))] if len(at) else at
+        size = np.diff(np.append(np.searchsorted(at, first), len(at)))
+        held, heads, n_runs = np.unique(owner[first], return_index=True, return_counts=True)
+        ends = pa.array(np.append(heads, len(first)).astype(np.int32))
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(np.array([r[1] for r in rows])[own]), pa.array(begin.astype(np.int32)),
-                pa.array(np.diff(np.append(first, len(at))).astype(np.int32)),
+                pa.array([rows[i][1] for i in held], pa.int64()), pa.array([rows[i][2] for i in held], pa.int64()),
+                pa.ListArray.from_arrays(ends, pa.array(start[first].astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(size.astype(np.int32))),
             ],
-            ["key", "first", "n"],
+            ["one", "two", "firsts", "sizes"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[int, int, int, bytes]] = []
+        waiting: list[tuple[int, int, int, int, bytes]] = []
         for batch in batches:
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("one", "key", "start", "words")), strict=True))
-            if not rows:
-                continue
-            last = rows[-1][0]
-            cut = next(i for i in range(len(rows), -1, -1) if i == 0 or rows[i - 1][0] != last)
+            rows = waiting + list(zip(*(batch.column(c).to_pylist() for c in ("minimiser", "one", "two", "n", "words")), strict=True))
+            cut = len(rows)
+            while cut and rows[cut - 1][0] == rows[-1][0]:
+                cut -= 1
             if cut:
-                if (found := counted(waiting + rows[:cut])) is not None:
-                    yield found
-                waiting = rows[cut:]
-            elif waiting and waiting[-1][0] != last:
-                if (found := counted(waiting)) is not None:
-                    yield found
-                waiting = rows
-            else:
-                waiting = waiting + rows
-        if waiting and (found := counted(waiting)) is not None:
-            yield found
+                yield counted(rows[:cut])
+            waiting = rows[cut:]
+        if waiting:
+            yield counted(waiting)
 
     return run
 
 
-def repeated_runs(docs: DataFrame, k: int = WINDOW, m: int = MINIMISER, hot: int = HOT) -> DataFrame:
-    """Runs of repeated windows by document: ``key, firsts, sizes``, arrays of first window and number of windows.
+def ladder(k: int, m: int) -> list[int]:
+    """Lengths of the runs whose least hash is the minimiser, halfway to whole windows each time: 8, 22, 29, 32, 34, 35."""
+    lengths = [m]
+    while lengths[-1] < k:
+        lengths.append(-(-(lengths[-1] + k) // 2))
+    return lengths
+
 
-    ``docs`` has ``key`` (the same for identical rows only) and ``text``.
+def _runs_of(cuts: DataFrame, lengths: list[int], k: int, limit: int) -> DataFrame:
+    """Runs of repeated windows of each distinct super-k-mer: ``one, two, firsts, sizes``.
+
+    ``cuts`` has ``minimiser, one, two, words`` and the multiplicity ``n``; ``lengths`` are the runs to come.
     """
-    announced = stored(
-        docs.mapInArrow(_announce(k, m), "minimiser long, key long, start int, weight int"), "substring_minimisers"
+    distinct = cuts.groupBy("minimiser", "one", "two").agg(F.sum("n").alias("n"), F.first("words").alias("words"))
+    distinct = stored(distinct, "substring_distinct")
+    crowds = stored(distinct.groupBy("minimiser").agg(F.count("*").alias("held")).filter(F.col("held") > limit).select("minimiser"), "substring_crowds")
+    if not lengths or crowds.isEmpty():
+        few, many = distinct, None
+    else:
+        few, many = distinct.join(crowds, "minimiser", "left_anti"), distinct.join(crowds, "minimiser", "left_semi")
+    few = few.repartition("minimiser").sortWithinPartitions("minimiser")
+    found = few.mapInArrow(_count(k), "one long, two long, firsts array<int>, sizes array<int>")
+    if many is None:
+        return found
+    pieces = stored(
+        many.mapInArrow(
+            _recut(k, lengths[0]), "minimiser long, one long, two long, whole_one long, whole_two long, start int, n long, words binary"
+        ),
+        "substring_pieces",
+    )
+    inner = stored(_runs_of(pieces.select("minimiser", "one", "two", "n", "words"), lengths[1:], k, limit), "substring_inner")
+    back = pieces.select("one", "two", "whole_one", "whole_two", "start").join(inner, ["one", "two"])
+    moved = F.transform("firsts", lambda x: x + F.col("start"))
+    back = back.groupBy(F.col("whole_one").alias("one"), F.col("whole_two").alias("two")).agg(
+        F.flatten(F.collect_list(moved)).alias("firsts"), F.flatten(F.collect_list("sizes")).alias("sizes")
     )
-    again = announced.groupBy("minimiser").agg(F.sum("weight").alias("weight"), F.count("*").alias("n"))
-    again = stored(
-        again.filter("weight > 1").select("minimiser", (F.col("n") > hot).alias("hot")), "substring_repeated"
+    return found.union(back)
+
+
+def repeated_runs(docs: DataFrame, k: int = WINDOW, m: int = MINIMISER, limit: int = LIMIT) -> DataFrame:
+    """Runs of repeated windows by document: ``key, also, firsts, sizes``, arrays of first window and number of windows.
+
+    ``docs`` has ``key`` and ``also`` (together the same for identical rows only) and ``text``.
+    """
+    row = ["key", "also"]
+    announced = stored(
+        docs.mapInArrow(_announce(k, m), "minimiser long, key long, also long, start int, weight int"), "substring_minimisers"
     )
-    marks = announced.select("minimiser", "key", "start").join(again, "minimiser")
-    marks = marks.select("key", (F.col("start").cast("long") * 2 + F.col("hot").cast("long")).alias("mark"))
-    asked = marks.groupBy("key").agg(F.collect_set("mark").alias("starts"))
+    again = announced.groupBy("minimiser").agg(F.sum("weight").alias("weight"))
+    again = stored(again.filter("weight > 1").select("minimiser"), "substring_repeated")
+    asked = announced.select("minimiser", *row, "start").join(again, "minimiser")
+    asked = asked.groupBy(*row).agg(F.collect_set("start").alias("starts"))
     packed = stored(
-        docs.join(asked, "key").select("key", "text", "starts").mapInArrow(
-            _pack(k, m), "one long, two long, hot boolean, key long, start int, words binary"
+        docs.join(asked, row).select(*row, "text", "starts").mapInArrow(
+            _pack(k, m), "minimiser long, one long, two long, key long, also long, start int, words binary"
         ),
         "substring_packed",
     )
-    cold = packed.filter("not hot").select("one", "key", "start", "words").repartition("one").sortWithinPartitions("one")
-    runs = cold.mapInArrow(_count(k), "key long, first int, n int")
-    windows = packed.filter("hot").select("one", "two", "key", "start")
-    many = windows.groupBy("one", "two").agg(F.count("*").alias("n")).filter("n > 1").select("one", "two")
-    many = stored(many, "substring_hot")
-    runs = runs.union(windows.join(many, ["one", "two"]).select("key", F.col("start").alias("first"), F.lit(1).alias("n")))
-    found = runs.groupBy("key").agg(F.collect_set(F.struct("first", "n")).alias("runs"))
-    return found.select("key", F.col("runs.first").alias("firsts"), F.col("runs.n").alias("sizes"))
+    cuts = packed.select("minimiser", "one", "two", F.lit(1).cast("long").alias("n"), "words")
+    runs = stored(_runs_of(cuts, ladder(k, m)[1:], k, limit), "substring_counted")
+    back = packed.select("one", "two", *row, "start").join(runs, ["one", "two"])
+    moved = F.transform("firsts", lambda x: x + F.col("start"))
+    # Rows that repeat in whole give the same runs again.
+    found = back.groupBy(*row).agg(F.collect_set(F.struct(moved.alias("firsts"), "sizes")).alias("runs"))
+    return found.select(*row, F.flatten("runs.firsts").alias("firsts"), F.flatten("runs.sizes").alias("sizes"))
 
 
 def _cut(k: int):
@@ -278,7 +324,7 @@ def _cut(k: int):
     return cut
 
 
-def remove_repeats(docs: DataFrame, k: int = WINDOW, m: int = MINIMISER, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, k: int = WINDOW, m: int = MINIMISER, limit: int = LIMIT) -> DataFrame:
     """Removes every word covered by a window of ``k`` words that also starts anywhere else.
 
     Args: ``docs`` with ``doc_id``, ``text`` and any other columns. Windows are judged on the input;
@@ -286,11 +332,15 @@ def remove_repeats(docs: DataFrame, k: int = WINDOW, m: int = MINIMISER, hot: in
     Returns one row per input row: ``doc`` (the whole row), ``n_words``, ``n_removed``, ``kept`` (kept
     words joined by one space) and ``sha256`` of it. A null or empty text has no words; a text of
     fewer than ``k`` words loses none. Repeated rows are repeats of each other. An empty table gives
-    an empty table. Null ids are ids like any other.
+    an empty table. Null ids are ids like any other. ``limit`` is the number of distinct super-k-mers of a
+    minimiser beyond which they are cut again; it changes no result.
     """
     small_batches(docs.sparkSession)
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
-    runs = repeated_runs(keyed.select("key", F.col("doc.text").alias("text")), k, m, hot)
-    joined = keyed.join(stored(runs, "substring_runs"), "key", "left")
+    keyed = docs.select(
+        F.xxhash64("doc_id", "text").alias("key"), F.xxhash64(F.lit(1), "doc_id", "text").alias("also"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+    )
+    runs = repeated_runs(keyed.select("key", "also", F.col("doc.text").alias("text")), k, m, limit)
+    joined = keyed.join(stored(runs, "substring_runs"), ["key", "also"], "left")
     cut = joined.select("doc", _cut(k)(F.col("doc.text"), "firsts", "sizes").alias("cut"))
     return cut.select("doc", "cut.*")

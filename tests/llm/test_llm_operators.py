@@ -13,7 +13,7 @@ import pytest
 import __spark_entry__ as driver
 import corpus_pipeline
 from hemicycle.llm import bpe, fingerprints, html_text, minhash, mixing, nearest, quality, queries, sharding, substrings, token_counts
-from hemicycle.llm.common import components
+from hemicycle.llm.common import WordHashes, components, word_hashes
 from parity.compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
@@ -46,6 +46,12 @@ def none(spark):
     return spark.createDataFrame([], DOCS)
 
 
+def test_long_words_are_not_kept():
+    cache = WordHashes()
+    hashes, counts = word_hashes([b"x" * 5_000_000 + b" y", b"y"], cache)
+    assert list(cache) == [b"y"] and counts.tolist() == [2, 1] and hashes[1] == hashes[2] != hashes[0]
+
+
 def test_near_duplicates(spark, texts):
     sets = {}
     for i, t in texts.items():
@@ -82,12 +88,45 @@ def test_substrings(spark, texts):
         assert tuple(got[i])[1:] == (len(w), len(cut), hashlib.sha256(kept).hexdigest())
 
 
-def test_substrings_hot_path(spark, odd):
-    cold = substrings.remove_repeats(odd).select("doc.doc_id", "n_words", "n_removed", "sha256").collect()
-    hot = substrings.remove_repeats(odd, hot=0).select("doc.doc_id", "n_words", "n_removed", "sha256").collect()
-    assert sorted(map(str, cold)) == sorted(map(str, hot))
-    by_id = {r.doc_id: r for r in cold}
-    assert by_id[6].n_removed == by_id[6].n_words == 20_000 and by_id[8].n_removed == 200 and by_id[1].n_words == 0
+def plain_removed(rows, k=35):
+    """Words, removed words and digest of the rest of each ``(id, text)``."""
+    split = [(i, (t or "").encode().split()) for i, t in rows]
+    seen = collections.Counter(tuple(w[j : j + k]) for _, w in split for j in range(len(w) - k + 1))
+    out = []
+    for i, w in split:
+        edges = np.zeros(len(w) + 1, int)
+        for j in range(len(w) - k + 1):
+            if seen[tuple(w[j : j + k])] > 1:
+                edges[j] += 1
+                edges[j + k] -= 1
+        cut = np.cumsum(edges)[: len(w)] > 0
+        kept = b" ".join(x for x, c in zip(w, cut, strict=True) if not c)
+        out.append((i, len(w), int(cut.sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=str)
+
+
+def removed(docs, **more):
+    return sorted(map(tuple, substrings.remove_repeats(docs, **more).select("doc.doc_id", "n_words", "n_removed", "sha256").collect()), key=str)
+
+
+@pytest.mark.parametrize("limit", [0, 3, 2048])
+def test_substrings_of_crowded_minimisers(spark, odd, limit):
+    """A passage between words that differ everywhere: its windows share a minimiser in many distinct super-k-mers."""
+    assert removed(odd, limit=limit) == plain_removed([(r.doc_id, r.text) for r in odd.collect()])
+    draw = np.random.default_rng(4)
+
+    def words(n):
+        return " ".join(f"u{x}" for x in draw.integers(0, 10**9, n))
+
+    passage, line = words(60), words(30)
+    rows = [(i, f"{words(40)} {passage} {words(20)} {line} {words(40)}") for i in range(30)]
+    rows += [(100 + i, f"{words(1)} {line} {words(5)} {line} {words(3)}") for i in range(20)] + [(200 + i, rows[3][1]) for i in range(10)]
+    # Near copies: one word of each differs.
+    base = words(150).split()
+    rows += [(300 + i, " ".join([*base[: 4 * i], f"x{i}", *base[4 * i + 1 :]])) for i in range(30)]
+    rows += [(400 + i, "again " * (30 + i)) for i in range(20)] + [(500, f"{line} {line} {line}")]
+    got = removed(spark.createDataFrame(rows, "doc_id long, text string"), limit=limit)
+    assert got == plain_removed(rows) and sum(r[2] for r in got) > 4000
 
 
 def test_fingerprints(spark, texts):

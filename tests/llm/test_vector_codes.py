@@ -97,6 +97,6 @@ def test_cells_leave_out_dominated_entries_only(monkeypatch):
     all_distances = ((parts[:, None] - entries[None]) ** 2).sum(axis=2)
     assert (entry == all_distances.argmin(axis=1)).all() and (distance == all_distances.min(axis=1)).all()
     left = cells.undominated(np.unique((parts - cells.low) // cells.size, axis=0))
-    assert len(cells.kept) <= 256 and np.mean([len(x) for x in left]) < 40
+    assert len(cells.kept) <= vector_codes.PAIRS // 256 and np.mean([len(x) for x in left]) < 40
     entry, distance = cells.assign(np.full((2, 4), 10**6))
     assert (entry == ((10**6 - entries) ** 2).sum(axis=1).argmin()).all()
