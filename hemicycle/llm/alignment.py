@@ -14,6 +14,7 @@ are those of the vocabularies and ``FREQUENT``); what is left joins the pair cou
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from itertools import accumulate, chain
@@ -32,6 +33,8 @@ from hemicycle.session import stored
 FREQUENT = 1 << 16
 #: Units that a worker keeps aligned, and the letters of a unit that it keeps.
 KEPT_UNITS, LONGEST = 100_000, 64
+#: Units that are given to the tokenizers at a time.
+BATCH = 20_000
 #: Entries of a piece of the vector of one-to-one counts, and pairs that a task counts at a time.
 PIECE, PAIRS = 1 << 12, 1 << 20
 #: Before a blank that stands alone between characters that are no white space in any tokenizer.
@@ -50,6 +53,7 @@ class Vocabularies:
     """Both tokenizers, the bytes of every id, and the B id with the bytes of each A id (-1: none)."""
 
     def __init__(self, path_a: str, path_b: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.a = tokenizers.Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
@@ -81,46 +85,83 @@ class Aligner(dict):
 
     def __init__(self, vocabularies: Vocabularies):
         super().__init__()
-        self.of = vocabularies
-
-    def __missing__(self, unit: str):
-        value = self.aligned(unit)
-        if len(unit) <= LONGEST:
-            if len(self) >= KEPT_UNITS:
-                self.clear()
-            self[unit] = value
-        return value
-
-    def aligned(self, unit: str) -> tuple[int, int, bytes, tuple[int, ...]] | None:
+        self.of = of = vocabularies
+        self.size_b = len(of.bytes_b)
+        self.shown_a, self.shown_b = (list(map(str, range(len(x)))) for x in (of.bytes_a, of.bytes_b))
+        # The group and the link of an A id with the B id that has its bytes.
+        self.same = of.same.tolist()
+        self.pair = [f"{a}|{b}" for a, b in enumerate(self.same)]
+        self.link = [a * self.size_b + b for a, b in enumerate(self.same)]
+
+    def learn(self, units: list[str]) -> dict:
+        """Aligns the units that are not kept yet; gives those of them that are too long to be kept."""
+        new = list({u for u in units if u not in self})
+        if len(self) + len(new) > KEPT_UNITS:
+            self.clear()
+            new = list(set(units))
+        long = {}
+        for i in range(0, len(new), BATCH):
+            part = new[i : i + BATCH]
+            a = [e.ids for e in self.of.a.encode_batch_fast(part, add_special_tokens=False)]
+            b = self.of.b.encode([u[1:] for u in part], num_threads=1)  # the library puts the blank back
+            for unit, ids_a, ids_b in zip(part, a, b, strict=True):
+                (self if len(unit) <= LONGEST else long)[unit] = self.aligned(unit, ids_a, ids_b)
+        return long
+
+    def aligned(self, unit: str, a: list[int], b: list[int]) -> tuple[int, int, str, list[int]] | None:
         """Groups as text, and of each group the link of its last tokens, as A id * size of B + B id."""
         of = self.of
-        a = of.a.encode(unit, add_special_tokens=False).ids
-        b = of.b.encode(unit[1:])  # the library puts the blank back
-        raw_a, raw_b = [of.bytes_a[i] for i in a], [of.bytes_b[i] for i in b]
+        raw_a = [of.bytes_a[i] for i in a]
         raw = unit.encode()
-        if b"".join(raw_a) != raw or b"".join(raw_b) != raw:
+        if b"".join(raw_a) != raw:
+            return None
+        if [self.same[i] for i in a] == b:
+            return len(a), len(b), ";".join([self.pair[i] for i in a]), [self.link[i] for i in a]
+        raw_b = [of.bytes_b[i] for i in b]
+        if b"".join(raw_b) != raw:
             return None
-        after_a = {end: i for i, end in enumerate(accumulate(map(len, raw_a)), 1)}
-        after_b = {end: i for i, end in enumerate(accumulate(map(len, raw_b)), 1)}
+        after_b = dict(zip(accumulate(map(len, raw_b)), range(1, len(b) + 1), strict=True))
         groups, links, i, j = [], [], 0, 0
-        for end, next_a in after_a.items():
+        for next_a, end in enumerate(accumulate(map(len, raw_a)), 1):
             if (next_b := after_b.get(end)) is not None:
-                groups.append(f"{','.join(map(str, a[i:next_a]))}|{','.join(map(str, b[j:next_b]))}")
-                links.append(a[next_a - 1] * len(of.bytes_b) + b[next_b - 1])
+                groups.append(",".join([self.shown_a[x] for x in a[i:next_a]]) + "|" + ",".join([self.shown_b[x] for x in b[j:next_b]]))
+                links.append(a[next_a - 1] * self.size_b + b[next_b - 1])
                 i, j = next_a, next_b
-        return len(a), len(b), ";".join(groups).encode(), tuple(links)
+        return len(a), len(b), ";".join(groups), links
 
-    def document(self, text: str | None) -> tuple[int, int, str, list[int]]:
+    def documents(self, texts: list[str | None]) -> Iterator[tuple[int, int, str, list[int]]]:
         """Tokens of A and of B, the digest of the groups, and all links; none where the tokens do not give the bytes."""
-        if not text:
-            return 0, 0, "", []
-        found = [self[u] for u in CUT.split(" " + text)]
-        if None in found:
-            found = [self.aligned(" " + text)]
-            if found[0] is None:
-                return 0, 0, "", []
-        n_a, n_b, groups, links = zip(*found, strict=True)
-        return sum(n_a), sum(n_b), hashlib.sha256(b";".join(groups)).hexdigest(), list(chain.from_iterable(links))
+        cut = [CUT.split(" " + t) if t else [] for t in texts]
+        # Units of few texts at a time, so that what is learnt stays within what is kept.
+        for part in steps(list(map(len, cut))):
+            long = self.learn(list(chain.from_iterable(cut[part])))
+            get = (lambda u: self[u] if u in self else long[u]) if long else self.__getitem__
+            for units, text in zip(cut[part], texts[part], strict=True):
+                found = list(map(get, units))
+                if None in found:
+                    found = [self.learn_whole(text)]
+                if not found or found[0] is None:
+                    yield 0, 0, "", []
+                    continue
+                groups = ";".join([v[2] for v in found]).encode()
+                links = list(chain.from_iterable([v[3] for v in found]))
+                yield sum([v[0] for v in found]), sum([v[1] for v in found]), hashlib.sha256(groups).hexdigest(), links
+
+    def learn_whole(self, text: str):
+        """A text whose tokens do not give the bytes of some unit, as one unit."""
+        return self.aligned(" " + text, self.of.a.encode(" " + text, add_special_tokens=False).ids, self.of.b.encode(text))
+
+
+def steps(units: list[int]) -> Iterator[slice]:
+    """Slices of the texts with about ``BATCH`` units each."""
+    start = held = 0
+    for i, n in enumerate(units):
+        if held and held + n > BATCH:
+            yield slice(start, i)
+            start, held = i, 0
+        held += n
+    if start < len(units):
+        yield slice(start, len(units))
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -143,8 +184,7 @@ def _align(path_a: str, path_b: str):
         align = aligner(path_a, path_b)
         for batch in batches:
             n_a, n_b, digests, links, times = [], [], [], [], []
-            for text in batch.column("text"):
-                a, b, digest, found = align.document(text.as_py())
+            for a, b, digest, found in align.documents(batch.column("text").to_pylist()):
                 distinct, n = np.unique(np.array(found, np.int64), return_counts=True)
                 n_a.append(a)
                 n_b.append(b)

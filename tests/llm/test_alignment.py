@@ -91,9 +91,9 @@ def test_odd_texts(spark, frequent):
 
 def test_long_text():
     text = "".join(chr(0x4E00 + i * 7 % 5000) for i in range(300_000)) + " end" * 100_000
-    n_a, n_b, digest, links = alignment.aligner(A, B).document(text)
+    (n_a, n_b, digest, links), none = alignment.aligner(A, B).documents([text, None])
     library = sentencepiece.SentencePieceProcessor(model_file=B)
-    assert (n_b, len(digest)) == (len(library.encode(text)), 64) and 100_000 <= len(links) <= n_a
+    assert (n_b, len(digest)) == (len(library.encode(text)), 64) and none == (0, 0, "", []) and 100_000 <= len(links) <= n_a
 
 
 def test_identity_map():
