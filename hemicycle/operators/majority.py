@@ -35,9 +35,16 @@ def majority_columns(
     (-count, vote) in one aggregate over the counts serves any number of parties, where
     a lookup per party would join the same table again and again.
     """
+    counts = vote_counts(ballots.filter(F.col(party).isin(*parties)), keys, party, vote)
+    return majority_of_counts(counts, keys, parties, party, vote)
+
+
+def majority_of_counts(
+    counts: DataFrame, keys: Sequence[str], parties: Mapping[str, str], party: str = "party", vote: str = "vote"
+) -> DataFrame:
+    """:func:`majority_columns` from :func:`vote_counts` made before."""
     ranked = F.struct((-F.col("vote_count")).alias("n"), F.col(vote).alias("v"))
     picks = [F.min(F.when(F.col(party) == code, ranked))["v"].alias(name) for code, name in parties.items()]
-    counts = vote_counts(ballots.filter(F.col(party).isin(*parties)), keys, party, vote)
     return counts.groupBy(*keys).agg(*picks)
 
 

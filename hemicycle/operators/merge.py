@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from hemicycle.functions.dates import iso_instant, stated_instant
 from hemicycle.operators.dedupe import top_per_group
+from hemicycle.session import stored
 
 #: Mark of an empty or missing table, and the last year a former member may have left.
 DEFAULT_MARK = "2015-01-01T00:00:00Z"
@@ -50,7 +51,11 @@ def merge_upsert(
     ``version`` names columns whose first non-null value tells how new a row is. A target row
     that is newer than the source's stays as it is; a row without a version is the oldest.
     """
-    new = unique_source(source, keys, order)
+    return _merged(target, unique_source(source, keys, order), keys, exclude, version)
+
+
+def _merged(target: DataFrame, new: DataFrame, keys: Sequence[str], exclude: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """The upsert of a source that is unique on the keys."""
     rest = [c for c in target.columns if c not in keys]
     old = target.select(*[F.col(c).alias(f"__t_{c}") for c in target.columns], F.lit(True).alias("__t"))
     new = new.select(*[F.col(c).alias(f"__s_{c}") for c in new.columns], F.lit(True).alias("__s"))
@@ -110,40 +115,43 @@ def upsert_table(
     """
     if partition_by and partition_by not in keys:
         raise ValueError("partition_by must be part of the key")
+    new = unique_source(source, keys, order)
     if table_exists(spark, path):
         target = spark.read.parquet(path)
         if partition_by:
-            # At most one value per folder comes to the driver; the filter prunes folders.
-            touched = [r[0] for r in source.select(partition_by).distinct().collect()]
+            # Written once, as both the folders and the rows are taken from it. At most one value per
+            # folder comes to the driver; the filter prunes folders.
+            new = stored(new, "upsert_source")
+            touched = [r[0] for r in new.select(partition_by).distinct().collect()]
             known = F.col(partition_by).isin([v for v in touched if v is not None])
             target = target.filter(known | F.col(partition_by).isNull() if None in touched else known)
-        rows = merge_upsert(target, source, keys, exclude, order, version)
+        rows = _merged(target, new, keys, exclude, version)
     else:
-        rows = unique_source(source, keys, order)
+        rows = new
     if partition_by:
         # No task writes to every folder; a folder that is too large is split.
         rows.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(f"{path}.writing")
     else:
         rows.write.mode("overwrite").parquet(f"{path}.writing")
-    _rename(spark, f"{path}.writing", f"{path}.ready")
+    rename(spark, f"{path}.writing", f"{path}.ready")
     _finish(spark, path)
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     """The file system of a path, and a maker of its paths."""
     make = spark._jvm.org.apache.hadoop.fs.Path
     return make(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), make
 
 
-def _rename(spark: SparkSession, old: str, new: str) -> None:
-    files, make = _files(spark, old)
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    files, make = files_of(spark, old)
     if not files.rename(make(old), make(new)):
         raise OSError(f"cannot rename {old} to {new}")
 
 
 def _finish(spark: SparkSession, path: str) -> None:
     """Put complete new rows in the place of the old ones; can be repeated from any point."""
-    files, make = _files(spark, path)
+    files, make = files_of(spark, path)
     ready, old = f"{path}.ready", f"{path}.old"
     if files.exists(make(ready)):
         found = files.listStatus(make(ready))
@@ -152,15 +160,15 @@ def _finish(spark: SparkSession, path: str) -> None:
         if parts or not files.exists(make(path)):
             if files.exists(make(path)):
                 files.delete(make(old), True)
-                _rename(spark, path, old)
-            _rename(spark, ready, path)
+                rename(spark, path, old)
+            rename(spark, ready, path)
         else:
             files.mkdirs(make(old))
             for name in folders:
                 if files.exists(make(f"{path}/{name}")):
                     files.delete(make(f"{old}/{name}"), True)
-                    _rename(spark, f"{path}/{name}", f"{old}/{name}")
-                _rename(spark, f"{ready}/{name}", f"{path}/{name}")
+                    rename(spark, f"{path}/{name}", f"{old}/{name}")
+                rename(spark, f"{ready}/{name}", f"{path}/{name}")
             files.delete(make(ready), True)
         spark.catalog.refreshByPath(path)
     if files.exists(make(old)):

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hemicycle.operators.merge import (
-    AUDIT_COLUMNS, MEMBER_YEAR_LIMIT, filter_members, filter_new_bills, high_water_mark_of, upsert_table,
+    AUDIT_COLUMNS, MEMBER_YEAR_LIMIT, filter_members, filter_new_bills, high_water_mark_of, table_exists, upsert_table,
 )
-from hemicycle.plans import bills as b, members as m, staging, views, votes as v
+from hemicycle.plans import bills as b, members as m, running, staging, views, votes as v
 from hemicycle.session import stored
 from hemicycle.sources import readers, sinks
 
@@ -58,6 +58,9 @@ MODELS = {
 }
 
 
+FACT = "fact_roll_call_vote"
+
+
 def stamped(df: DataFrame, col: str = "flowDate") -> DataFrame:
     """Adds the time of the load."""
     return df.withColumn(col, F.current_timestamp())
@@ -97,50 +100,91 @@ def land_senate_ids(spark: SparkSession, xml: str, landing: str, max_records: in
     sinks.write_ndjson(readers.read_senate_ids_xml(spark, xml), f"{landing}/{readers.SENATE_IDS}", max_records)
 
 
+def bill_tables(bills: DataFrame) -> dict[str, DataFrame]:
+    """Stored tables that landed bills give."""
+    staged = staging.stage_bills(bills)
+    return {
+        "dim_bills": b.dim_bills(staged),
+        "dim_sponsors": b.dim_sponsors(staged),
+        "dim_bill_subjects": b.dim_bill_subjects(staged),
+        "dim_committees": b.dim_committees(staged),
+        "bill_committee_bridge": b.bill_committee_bridge(staged),
+    }
+
+
+def vote_tables(house: DataFrame, senate: DataFrame) -> dict[str, DataFrame]:
+    """Stored tables that landed roll calls give."""
+    house, senate = staging.stage_house_votes(house), staging.stage_senate_votes(senate)
+    return {
+        "dim_votes": v.dim_votes(v.dim_house_votes(house), v.dim_senate_votes(senate)),
+        FACT: v.fact_roll_call_vote(house, senate),
+    }
+
+
+def member_tables(members: DataFrame, ids: DataFrame, overrides: DataFrame) -> dict[str, DataFrame]:
+    """Stored tables that landed members give, with the senators' ids."""
+    staged = staging.stage_members(members)
+    terms, history = staging.stage_terms(staged), m.dim_party_history(staged)
+    return {
+        "dim_terms": m.dim_terms(terms),
+        "dim_party_history": history,
+        "dim_members": m.dim_members(staged, terms, staging.stage_senate_ids(ids), overrides, history),
+    }
+
+
 def sources(spark: SparkSession, landing: str, seeds: str, run_date: str | None = None) -> dict[str, DataFrame]:
     """Every stored table as computed from the landing folders (all runs, or one)."""
 
     def landed(kind: str) -> DataFrame:
         return readers.read_ndjson(spark, landing, kind, run_date)
 
-    bills = staging.stage_bills(landed(readers.BILLS))
-    house = staging.stage_house_votes(landed(readers.HOUSE_VOTES))
-    senate = staging.stage_senate_votes(landed(readers.SENATE_VOTES))
-    members = staging.stage_members(landed(readers.MEMBERS))
-    terms = staging.stage_terms(members)
-    ids = staging.stage_senate_ids(readers.read_senate_ids(spark, landing))
     overrides = readers.read_seed(spark, f"{seeds}/senate_id_overrides.csv", "senate_id_overrides")
-    history = m.dim_party_history(members)
     return {
-        "fact_roll_call_vote": v.fact_roll_call_vote(house, senate),
-        "dim_votes": v.dim_votes(v.dim_house_votes(house), v.dim_senate_votes(senate)),
-        "dim_bills": b.dim_bills(bills),
-        "dim_sponsors": b.dim_sponsors(bills),
-        "dim_bill_subjects": b.dim_bill_subjects(bills),
-        "dim_committees": b.dim_committees(bills),
-        "bill_committee_bridge": b.bill_committee_bridge(bills),
-        "dim_terms": m.dim_terms(terms),
-        "dim_party_history": history,
-        "dim_members": m.dim_members(members, terms, ids, overrides, history),
+        **bill_tables(landed(readers.BILLS)),
+        **vote_tables(landed(readers.HOUSE_VOTES), landed(readers.SENATE_VOTES)),
+        **member_tables(landed(readers.MEMBERS), readers.read_senate_ids(spark, landing), overrides),
     }
 
 
-def load_tables(spark: SparkSession, landing: str, seeds: str, tables: str, run_date: str | None = None) -> None:
-    """Upsert every table. Loading the same runs again changes nothing."""
-    for name, df in sources(spark, landing, seeds, run_date).items():
-        model = MODELS[name]
+def store_tables(spark: SparkSession, found: dict[str, DataFrame], tables: str, state: str | None = None, run: str = "run") -> None:
+    """Upsert some tables. Storing the same rows again changes nothing.
+
+    With ``state`` the majorities and alignment kept there follow along (:mod:`hemicycle.plans.running`).
+    """
+    for name in sorted(found, key=lambda n: n == FACT):  # the ballots come last
+        df, model = found[name], MODELS[name]
         order = model.order() if model.order else None
-        upsert_table(
-            spark, f"{tables}/{name}", stamped(df, model.stamp), model.keys, AUDIT_COLUMNS, order, model.partition_by,
-            model.version,
-        )
+        if not (state and name == FACT):
+            upsert_table(
+                spark, f"{tables}/{name}", stamped(df, model.stamp), model.keys, AUDIT_COLUMNS, order, model.partition_by,
+                model.version,
+            )
+    if state and {FACT, "dim_bills", "dim_votes"} & set(found):
+        also = {r[0] for part in ("dim_votes", "dim_bills") if part in found for r in found[part].select("congress").distinct().collect()}
+        if FACT in found:
+            ballots = stamped(found[FACT], MODELS[FACT].stamp)
+        elif table_exists(spark, f"{tables}/{FACT}"):
+            ballots = spark.read.parquet(f"{tables}/{FACT}").limit(0)
+        else:
+            return
+        running.apply_run(spark, tables, state, run, ballots, MODELS[FACT].keys, MODELS[FACT].order(), also - {None})
+
+
+def load_tables(
+    spark: SparkSession, landing: str, seeds: str, tables: str, run_date: str | None = None, state: str | None = None
+) -> None:
+    """Upsert every table (:func:`store_tables`) from the landing folders."""
+    store_tables(spark, sources(spark, landing, seeds, run_date), tables, state, run_date or "all")
     zones = readers.read_seed(spark, f"{seeds}/congressional_zones.csv", "congressional_zones")
     states = readers.read_seed(spark, f"{seeds}/state_abbreviations.csv", "state_abbreviations")
     sinks.overwrite_table(m.dim_congressional_districts(zones, states), f"{tables}/dim_congressional_districts")
 
 
-def reporting_views(spark: SparkSession, tables: str, strict: bool = False) -> dict[str, DataFrame]:
-    """The exported tables: four views over the stored tables, and two dimensions as they are."""
+def reporting_views(spark: SparkSession, tables: str, strict: bool = False, state: str | None = None) -> dict[str, DataFrame]:
+    """The exported tables: four views over the stored tables, and two dimensions as they are.
+
+    With ``state`` the majorities come from there, and not from a pass over the fact.
+    """
     from hemicycle.operators.terms import terms_condensed
 
     def table(name: str) -> DataFrame:
@@ -148,7 +192,10 @@ def reporting_views(spark: SparkSession, tables: str, strict: bool = False) -> d
 
     fact, votes, bills, members = (table(n) for n in ("fact_roll_call_vote", "dim_votes", "dim_bills", "dim_members"))
     terms, districts = table("dim_terms"), table("dim_congressional_districts")
-    context = stored(views.roll_call_context(fact, votes, bills, strict), "roll_call_context")
+    if state and strict:
+        raise ValueError("the kept majorities do not tell sessions and chambers apart")
+    majority = running.majority_table(spark, state) if state else None
+    context = stored(views.roll_call_context(fact, votes, bills, strict, majority), "roll_call_context")
     return {
         "vw_votes_by_member": views.ballots_in_context(fact, context, members),
         "vw_sponsored_bills_by_member": views.sponsored_bills_by_member(table("dim_sponsors"), bills, members),

@@ -19,15 +19,18 @@ MAJORITY_KEY = ["bill_key", "roll_call_number", "congress"]
 
 
 def roll_call_context(
-    fact: DataFrame, votes: DataFrame, bills: DataFrame, strict: bool = False
+    fact: DataFrame | None, votes: DataFrame, bills: DataFrame, strict: bool = False, majority: DataFrame | None = None
 ) -> DataFrame:
     """Everything a ballot shows about its roll call: result, bill, majority votes.
 
     All lookups by roll call or bill are joined here, at one row per roll call, before the
     ballots come in. ``strict=True`` keeps sessions and chambers apart in the majority.
+    ``majority`` gives the majorities where they are kept (:mod:`hemicycle.plans.running`); the fact
+    is not read then.
     """
     key = [*MAJORITY_KEY, "session", "chamber"] if strict else MAJORITY_KEY
-    majority = majority_columns(fact, key, MAJORITY)
+    if majority is None:
+        majority = majority_columns(fact, key, MAJORITY)
     named = bills.select("bill_name", "congress", "policyArea", "title", "url").distinct()
     rolls = votes.select(
         "congress", "session", "chamber", "roll_call_number", "bill_name", "bill_key",

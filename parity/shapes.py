@@ -231,8 +231,8 @@ def zones(customer: DataFrame) -> DataFrame:
 # --- star tables without the detour over documents ---------------------------------------
 
 
-def fact(orders: DataFrame) -> DataFrame:
-    """The ballots of :func:`house_votes` and :func:`senate_votes`, flat."""
+def fact(orders: DataFrame, shift: int = 0) -> DataFrame:
+    """The ballots of :func:`house_votes` and :func:`senate_votes`, flat; ``shift`` corrects the votes."""
     heads = documents(orders).selectExpr(
         "md5(concat_ws('-', bt, m)) AS bill_key", "dec + 1 AS roll_call_number", "cong AS congress",
         "CASE WHEN m <= 6 THEN 1L ELSE 2L END AS session",
@@ -243,7 +243,7 @@ def fact(orders: DataFrame) -> DataFrame:
         "bill_key", "roll_call_number", "congress", "session", "chamber", "bill_name",
         "CASE WHEN chamber <> 'Senate' THEN concat('C', c + i) END AS bioguideID",
         "CASE WHEN chamber = 'Senate' THEN concat('S', c + i) END AS lisid",
-        f"{VOTE.format(n='k + 7 * i')} AS vote",
+        f"{VOTE.format(n=f'k + 7 * i + {shift}')} AS vote",
         f"{PARTY.format(x='c + i')} AS party",
     )
 
