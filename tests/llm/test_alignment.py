@@ -101,3 +101,16 @@ def test_identity_map():
     for a, b in enumerate(of.same.tolist()):
         assert b < 0 or of.bytes_a[a] == of.bytes_b[b] != b""
     assert of.bytes_b[of.same[of.bytes_a.index(b" the")]] == b" the" and (of.same >= 0).sum() > 10_000
+
+
+def test_quick_encoder_and_cache(monkeypatch, spark):
+    """Units by the quick encoder as by the library; a cache that is full all the time changes nothing."""
+    align = alignment.Aligner(alignment.Vocabularies(A, B))
+    assert align.of.quick is not None
+    texts = [r.text for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("text").collect()]
+    units = sorted({u for t in texts for u in alignment.CUT.split(" " + t)} | {" don't", " !!", " é1½ª", " x²", " ſtʼn'S"})
+    assert align.encode(units) == [e.ids for e in align.of.a.encode_batch(units, add_special_tokens=False)]
+    expected = list(align.documents(texts))
+    monkeypatch.setattr(alignment, "KEPT_UNITS", 500)
+    monkeypatch.setattr(alignment, "BATCH", 300)
+    assert list(alignment.Aligner(align.of).documents(texts)) == expected
