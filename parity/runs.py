@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hemicycle.plans import running
-from hemicycle.plans.pipeline import MODELS
+from hemicycle.plans.pipeline import FACT as FACT_TABLE, MODELS
 from hemicycle.session import scratch_path
+from hemicycle.sources import readers, sinks
+from hemicycle.streaming import delivery
 from parity import shapes
 from parity.registry import Tables, query
 from parity.star import _ALIGNED, Star
@@ -18,19 +20,21 @@ RUNS = (("o_orderkey % 4 < 2", 0), ("o_orderkey % 4 IN (1, 2)", 4), ("o_orderkey
 
 _KEY = 'congress, session, chamber, bill_key, roll_call_number, "bioguideID", lisid'
 _RUN = FACT.removeprefix("fact AS (").removesuffix(")").replace("(k + 7 * i)", "(k + 7 * i + {shift})").replace("FROM doc,", "FROM (SELECT * FROM doc WHERE {where}),")
-#: The ballots after all runs: the last run's, and of those the first by vote.
-FACT_OF_RUNS = (
-    "delivered AS (" + " UNION ALL ".join(
-        f"SELECT {n} AS run, * FROM (" + _RUN.replace("{shift}", str(shift)).replace("{where}", where.replace("o_orderkey", "k")) + ")"
+def fact_of_runs(shifted: bool = True) -> str:
+    """The ballots after all runs: the last run's, and of those the first by vote."""
+    delivered = " UNION ALL ".join(
+        f"SELECT {n} AS run, * FROM ("
+        + _RUN.replace("{shift}", str(shift if shifted else 0)).replace("{where}", where.replace("o_orderkey", "k"))
+        + ")"
         for n, (where, shift) in enumerate(RUNS)
-    ) + f"""),
+    )
+    return f"""delivered AS ({delivered}),
 fact AS (SELECT * EXCLUDE (run) FROM delivered
   QUALIFY row_number() OVER (PARTITION BY {_KEY} ORDER BY run DESC, vote NULLS LAST, party NULLS LAST) = 1)"""
-)
 
 
-def runs_sql(select: str, upto: str) -> str:
-    return star(select, upto).replace(FACT, FACT_OF_RUNS)
+def runs_sql(select: str, upto: str, shifted: bool = True) -> str:
+    return star(select, upto).replace(FACT, fact_of_runs(shifted))
 
 
 def run_all(t: Tables) -> tuple[str, str]:
@@ -56,3 +60,15 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     _, state = run_all(t)
     return running.party_majority(t.spark, state).withColumn("vote_count", F.col("vote_count").cast("long"))
+
+
+@query("streamed_fact", runs_sql("SELECT * FROM fact", "fact", shifted=False))
+def _(t: Tables) -> DataFrame:
+    """Three runs of roll calls landed and delivered as streams; some documents come twice."""
+    landing, tables, marks = (scratch_path(t.spark, f"streamed_{n}") for n in ("landing", "tables", "marks"))
+    for n, (where, _) in enumerate(RUNS, 1):
+        orders = t.orders.filter(where)
+        for kind, rows in ((readers.HOUSE_VOTES, shapes.house_votes(orders)), (readers.SENATE_VOTES, shapes.senate_votes(orders))):
+            sinks.write_run(rows, f"{landing}/{kind}", f"2023-01-0{n}", 1_000_000)
+        delivery.deliver(t.spark, landing, "", tables, marks, kinds=(readers.HOUSE_VOTES, readers.SENATE_VOTES))
+    return t.spark.read.parquet(f"{tables}/{FACT_TABLE}").drop("flowDate")

@@ -5,78 +5,72 @@ import pytest
 import documents as d
 from conftest import rows
 from hemicycle.plans import pipeline
+from hemicycle.sources import readers, sinks
 from hemicycle.streaming import delivery
 
-KINDS = ("bill_status", "house_votes", "senate_votes", "members")
+REFS = "congress string, sessionNumber string, rollNumber string, chamber string, bill_number string, bill_type string"
 
 
-def landed(spark, root):
-    """Three runs: a bill and its vote, a corrected vote with a newer bill, and a member."""
-    landing, seeds = f"{root}/landing", root / "seeds"
-    for name, text in (("senate_id_overrides", d.OVERRIDES), ("state_abbreviations", d.STATES), ("congressional_zones", d.ZONES)):
-        seeds.mkdir(parents=True, exist_ok=True)
-        (seeds / f"{name}.csv").write_bytes(text.encode())
-    from hemicycle.sources import readers, sinks
+def land_votes(spark, root, landing, day, ballots):
+    """A run of one House roll call."""
+    folder = root / f"votes{day}"
+    folder.mkdir()
+    (folder / "r.xml").write_text(d.house_roll(7, ballots))
+    refs = spark.createDataFrame([("118", "1", "7", "House", "1", "HR")], REFS)
+    sinks.write_run(readers.read_roll_calls_xml(spark, str(folder), "rollcall-vote", refs), f"{landing}/house_votes", f"2023-06-0{day}")
 
-    xml = root / "xml"
 
-    def put(kind, name, text):
-        (xml / kind).mkdir(parents=True, exist_ok=True)
-        (xml / kind / name).write_text(text)
+def test_micro_batches_equal_the_batch_load(spark, tmp_path, monkeypatch):
+    """Three runs with a corrected ballot; the second dies between its two tables and is taken again."""
+    landing, streamed, batch, marks = (f"{tmp_path}/{n}" for n in ("landing", "streamed", "batch", "marks"))
+    plain, calls = pipeline.upsert_table, []
 
-    def run(day, title, vote):
-        put(str(day), "b.xml", d.bill(1, "HR", 118, f"2023-0{day}-01T00:00:00Z", title, ["M1"], text_date=f"2023-0{day}-01T00:00:00Z"))
-        put(f"v{day}", "r.xml", d.house_roll(7, [("M1", "D", vote), ("M2", "D", "Yea"), (f"M{2 + day}", "R", "Nay")]))
-        day_name = f"2023-06-0{day}"
-        sinks.write_run(readers.read_bills_xml(spark, str(xml / str(day))), f"{landing}/bill_status", day_name)
-        refs = spark.createDataFrame([("118", "1", "7", "House", "1", "HR")], "congress string, sessionNumber string, rollNumber string, chamber string, bill_number string, bill_type string")
-        sinks.write_run(readers.read_roll_calls_xml(spark, str(xml / f"v{day}"), "rollcall-vote", refs), f"{landing}/house_votes", day_name)
-        schema = readers.schemas.landing_schema("members")
-        people = spark.read.schema(schema).json(spark.sparkContext.parallelize([d.member(f"M{i}", f"N{i}", "Democratic", [("House of Representatives", 118, 1, 2023, None)]) for i in (1, 2 + day)]))
-        sinks.write_run(people, f"{landing}/members", day_name)
-        sinks.write_run(spark.createDataFrame([], readers.schemas.landing_schema("senate_votes")), f"{landing}/senate_votes", day_name)
-        return day_name
+    def counted(spark, path, *more, **named):
+        calls.append(path)
+        if len(calls) == 4:
+            raise ZeroDivisionError
+        plain(spark, path, *more, **named)
 
-    (root / "senators").mkdir()
-    (root / "senators" / "s.xml").write_text(d.SENATORS)
-    pipeline.land_senate_ids(spark, str(root / "senators"), landing)
-    return landing, str(seeds), run
+    monkeypatch.setattr(pipeline, "upsert_table", counted)
 
+    def deliver():
+        return delivery.deliver(spark, landing, "", streamed, marks, kinds=("house_votes",))["house_votes"]
 
-@pytest.fixture
-def stores(monkeypatch):
-    """Counts the upserts, and can make one of them die."""
-    calls = []
-    plain = pipeline.upsert_table
-    monkeypatch.setattr(pipeline, "upsert_table", lambda *a, **b: (calls.append(a[1]), plain(*a, **b))[1])
-    return calls
-
-
-def test_micro_batches_equal_the_batch_load(spark, tmp_path, stores, monkeypatch):
-    landing, seeds, run = landed(spark, tmp_path)
-    streamed, batch, state, marks = (f"{tmp_path}/{n}" for n in ("streamed", "batch", "state", "marks"))
-
-    def deliver(**more):
-        return delivery.deliver(spark, landing, seeds, streamed, marks, state, **more)
-
-    for n, (title, vote) in enumerate((("First", "Yea"), ("Second", "Nay"), ("Third", "Nay")), 1):
-        day = run(n, title, vote)
-        if n == 2:  # the votes' micro-batch dies once its roll calls are stored, and is run again
-            plain = pipeline.running.apply_run
-            monkeypatch.setattr(pipeline.running, "apply_run", lambda *a, **b: 1 / 0 if a[3].startswith("house") else plain(*a, **b))
+    none = spark.createDataFrame([], readers.schemas.landing_schema("senate_votes"))
+    for day, vote in ((1, "Yea"), (2, "Nay"), (3, "Nay")):
+        land_votes(spark, tmp_path, landing, day, [("M1", "D", vote), ("M2", "D", "Yea"), (f"M{2 + day}", "R", "Nay")])
+        if day == 2:
             with pytest.raises(Exception, match="(?i)zero"):
                 deliver()
-            monkeypatch.setattr(pipeline.running, "apply_run", plain)
-        assert set(deliver()) == set(KINDS)
-        pipeline.load_tables(spark, landing, seeds, batch, day, state=f"{batch}-state")
-    before = len(stores)
-    assert set(deliver().values()) == {0} and len(stores) == before
-    for name in pipeline.MODELS:
-        ours, theirs = (spark.read.parquet(f"{t}/{name}").drop("flowDate", "updateDatetime") for t in (streamed, batch))
+        assert deliver() == 1
+    done = len(calls)
+    assert deliver() == 0 and len(calls) == done == 8
+    monkeypatch.undo()
+    for day in (1, 2, 3):
+        pipeline.store_tables(spark, pipeline.vote_tables(readers.read_ndjson(spark, landing, "house_votes", f"2023-06-0{day}"), none), batch)
+    for name in ("dim_votes", pipeline.FACT):
+        ours, theirs = (spark.read.parquet(f"{t}/{name}").drop("flowDate") for t in (streamed, batch))
         assert rows(ours) == rows(theirs), name
-    members = spark.read.parquet(f"{batch}/dim_members")
-    kept = [rows(pipeline.running.alignment(spark, s, members, "House of Representatives")) for s in (state, f"{batch}-state")]
-    assert kept[0] == kept[1] and len(kept[0]) >= 3
+    assert rows(spark.read.parquet(f"{streamed}/{pipeline.FACT}").select("bioguideID", "vote")) == [
+        ("M1", "Nay"), ("M2", "Yea"), ("M3", "Nay"), ("M4", "Nay"), ("M5", "Nay")
+    ]
+
+
+def test_bills_and_members(spark, tmp_path):
+    landing, seeds, tables = f"{tmp_path}/landing", tmp_path / "seeds", f"{tmp_path}/tables"
+    for folder in ("bills", "senators", "seeds"):
+        (tmp_path / folder).mkdir()
+    (tmp_path / "bills" / "b.xml").write_text(d.bill(1, "HR", 118, "2023-02-01T00:00:00Z", "First Act", ["M1"], ["M2"]))
+    (tmp_path / "senators" / "s.xml").write_text(d.SENATORS)
+    (seeds / "senate_id_overrides.csv").write_bytes(d.OVERRIDES.encode())
+    sinks.write_run(readers.read_bills_xml(spark, str(tmp_path / "bills")), f"{landing}/bill_status", "2023-06-01")
+    (tmp_path / "landing" / "members" / "run_date=2023-06-01").mkdir(parents=True)
+    (tmp_path / "landing" / "members" / "run_date=2023-06-01" / "m.json").write_text(d.member("M1", "One", "Democratic", [("House of Representatives", 118, 1, 2023, None)]))
+    pipeline.land_senate_ids(spark, str(tmp_path / "senators"), landing)
+    got = delivery.deliver(spark, landing, str(seeds), tables, f"{tmp_path}/marks", state=f"{tmp_path}/state", kinds=("bill_status", "members"))
+    assert got == {"bill_status": 1, "members": 1}
+    assert rows(spark.read.parquet(f"{tables}/dim_sponsors").select("bioguideID", "sponsor_type")) == [("M1", "Sponsor"), ("M2", "Cosponsor")]
+    assert spark.read.parquet(f"{tables}/dim_members").select("mostRecentParty").first()[0] == "Democratic"
 
 
 def test_unreadable_lines_fail(spark, tmp_path):
