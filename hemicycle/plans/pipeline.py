@@ -102,7 +102,7 @@ def land_senate_ids(spark: SparkSession, xml: str, landing: str, max_records: in
 
 def bill_tables(bills: DataFrame) -> dict[str, DataFrame]:
     """Stored tables that landed bills give."""
-    staged = staging.stage_bills(bills)
+    staged = staging.stage_parsed_bills(bills)
     return {
         "dim_bills": b.dim_bills(staged),
         "dim_sponsors": b.dim_sponsors(staged),

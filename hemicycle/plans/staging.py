@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hemicycle.functions.json import json_array, json_list, json_scalar
+from hemicycle.functions.json import array_at, json_scalar, list_at, parse_parts
 from hemicycle.functions.keys import congress_bill_key
 from hemicycle.functions.votes import chamber_name
 from hemicycle.operators.merge import filter_new_votes
 from hemicycle.operators.nested import flatten, unnest
+from hemicycle.session import stored
 from hemicycle.sources.schemas import RECORDED_VOTE
 
 
@@ -17,6 +18,15 @@ def stage_bills(bills: DataFrame) -> DataFrame:
     return bills.withColumn("bill_key", congress_bill_key())
 
 
+#: Parts of a bill that the models look into.
+JSON_PARTS = ["policyArea", "sponsors", "cosponsors", "subjects", "committees", "actions"]
+
+
+def stage_parsed_bills(bills: DataFrame) -> DataFrame:
+    """:func:`stage_bills` with the JSON parts parsed into variants and stored: one parse serves all models."""
+    return stored(stage_bills(parse_parts(bills, JSON_PARTS)), "parsed_bills")
+
+
 def stage_house_votes(votes: DataFrame) -> DataFrame:
     return flatten(votes.select("rollcall_vote", "bill_number", "bill_type"), "rollcall_vote")
 
@@ -55,13 +65,16 @@ def recorded_votes(bills: DataFrame, mark: Column | str | DataFrame | None = Non
     An action may name one vote as an object or several as a list.
     """
     number = [c for c in ("number", "billNumber") if c in bills.columns]
+    actions = bills.select(
+        F.coalesce(*[F.col(c) for c in number]).alias("bill_number"),
+        F.col("type").alias("bill_type"),
+        F.explode(array_at(bills, "actions", "$.item")).alias("action"),
+    )
     votes = (
-        bills.select(
-            F.coalesce(*[F.col(c) for c in number]).alias("bill_number"),
-            F.col("type").alias("bill_type"),
-            F.explode(json_array("actions", "$.item")).alias("action"),
+        actions.select(
+            "bill_number", "bill_type",
+            F.explode(list_at(actions, "action", "$.recordedVotes.recordedVote", f"struct<{RECORDED_VOTE}>")).alias("vote"),
         )
-        .select("bill_number", "bill_type", F.explode(json_list("action", "$.recordedVotes.recordedVote", f"struct<{RECORDED_VOTE}>")).alias("vote"))
         .select("bill_number", "bill_type", "vote.*")
         .withColumn("chamber", chamber_name("chamber"))
     )
