@@ -46,4 +46,6 @@ def policy_area_counts(
     scoped = where_all(df, [F.col(member_col) == member if member is not None else None, F.col(area).isNotNull()])
     counted = scoped.groupBy(*keys).agg(F.count("*").alias("n"))
     label = F.concat(F.col(area), F.lit(" | (n="), F.col("n").cast("string"), F.lit(")"))
-    return counted.withColumn("label", label).orderBy(*keys)
+    labelled = counted.withColumn("label", label)
+    # The list of one member is shown in order; a table of all members is not.
+    return labelled.orderBy(*keys) if member is not None else labelled
