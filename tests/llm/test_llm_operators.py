@@ -143,6 +143,32 @@ def test_fingerprints(spark, texts):
     assert np.mean(close) < 0.1
 
 
+def test_fingerprint_likeness_is_that_of_the_sets(spark, texts):
+    """Both likeness columns against the exact likeness of sets of nine bytes: 64 draws err by 0.0625 at most on average."""
+    ids = sorted(texts)
+    sets = {}
+
+    def parts(text):
+        raw = text.encode()
+        if raw not in sets:
+            sets[raw] = {raw[i : i + 9] for i in range(len(raw) - 8)} or {raw}
+        return sets[raw]
+
+    def likeness(a, b):
+        return len(parts(a) & parts(b)) / len(parts(a) | parts(b))
+
+    got, errors = found(spark, "op3_fingerprints"), {"edited": [], "next": []}
+    for i, j in zip(ids, ids[1:] + ids[:1], strict=True):
+        half = len(texts[i]) // 2
+        edited = texts[i][: len(texts[i]) - half] + texts[j][:half]
+        errors["edited"].append(got[i].near_edited - likeness(texts[i], edited))
+        errors["next"].append(got[i].near_next - likeness(texts[i], texts[j]))
+        assert 0 <= got[i].near_edited <= 1 and 0 <= got[i].near_next <= 1
+        assert (got[i].fingerprint == got[j].fingerprint) or texts[i] != texts[j]
+    for found_errors in errors.values():
+        assert np.abs(found_errors).max() < 0.3 and np.abs(found_errors).mean() < 0.07 and abs(np.mean(found_errors)) < 0.02
+
+
 def test_alike_texts(spark):
     rows = [(1, "a b c d e f g h " * 9), (2, "a b c d e f g h " * 9 + "x"), (3, "something else altogether"), (4, None), (5, "")]
     got = dict(fingerprints.alike(spark.createDataFrame(rows, "doc_id long, text string")).collect())
@@ -237,6 +263,13 @@ def test_quality(spark):
     assert np.mean(right) > 0.9
 
 
+def plain_bpe(library, i, text):
+    """Row of op7 by the library."""
+    ids = library.encode(text or "", add_special_tokens=False).ids
+    decoded = library.decode(ids, skip_special_tokens=False)
+    return i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+
+
 def test_bpe(spark, texts):
     from tokenizers import Tokenizer
 
@@ -247,9 +280,8 @@ def test_bpe(spark, texts):
         ids = library.encode(t, add_special_tokens=False).ids
         assert mine.encode(t).tolist() == ids
         assert mine.decode(np.array(ids, np.uint32)).decode() == library.decode(ids, skip_special_tokens=False)
-    got = found(spark, "op7_bpe_roundtrip")
-    ids = library.encode(texts[0], add_special_tokens=False).ids
-    assert got[0].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+    expected = sorted(plain_bpe(library, i, t) for i, t in texts.items())
+    assert sorted(tuple(r)[:4] for r in found(spark, "op7_bpe_roundtrip").values()) == expected
 
 
 def test_shards(spark, texts):
@@ -357,10 +389,42 @@ def test_odd_and_empty_tables(spark, odd, none, name):
         "shards": sharding.shard_documents, "mix": mixing.mixed_rows, "mixed": mixing.mixed_documents,
     }[name]
     assert run(none).collect() == []
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    got = run(odd)
     if name == "mixed":
-        assert run(odd).columns == odd.columns
+        assert got.columns == odd.columns and {(r.doc_id, r.text) for r in got.collect()} <= set(rows)
+        return
+    found = got.collect()
+    assert len(found) == len(rows)
+    if name == "near":
+        expected = {1: (0, 1), 2: (0, 2), 3: (0, 3), 4: (1, 4), 5: (1, 4), 6: (977, 6), 7: (977, 6), 8: (1, 8)}
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found if r.doc_id is not None} == expected
+        assert [(r.component_id, r.kept) for r in found if r.doc_id is None] == [(None, True)] * 2
+    elif name == "cut":
+        assert sorted(((r.doc.doc_id, r.n_words, r.n_removed, r.sha256) for r in found), key=str) == plain_removed(rows)
+    elif name == "prints":
+        assert sorted(((r.doc_id, r.n_chars) for r in found), key=str) == sorted(((i, len(t or "")) for i, t in rows), key=str)
+        by_id = {r.doc_id: r.fingerprint for r in found}
+        assert by_id[6] == by_id[7] != by_id[8] and by_id[1] == by_id[2]
+    elif name == "tokens":
+        import sentencepiece
+
+        library = sentencepiece.SentencePieceProcessor(model_file=queries.vocabulary("piece_bpe_32k.model"))
+        expected = [(i, len((t or "").encode()), n := len(library.encode(t or "")), n > 4096) for i, t in rows]
+        assert sorted(map(tuple, found), key=str) == sorted(expected, key=str)
+    elif name == "quality":
+        assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in found)
+        assert len({r.score for r in found if r.doc_id in (6, 7)}) == 1
+    elif name == "bpe":
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
+        assert sorted((tuple(r)[:4] for r in found), key=str) == sorted((plain_bpe(library, i, t) for i, t in rows), key=str)
+    elif name == "shards":
+        assert sorted(((r.doc_id, r["size"], r.text_crc32) for r in found), key=str) == sorted(((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows), key=str)
     else:
-        assert run(odd).count() == odd.count()
+        assert sorted((r.doc_id or 0, r["size"]) for r in found) == sorted((i or 0, len((t or "").split())) for i, t in rows)
+        assert all(0 <= r.taken <= 3 * r["size"] for r in found)
 
 
 def test_stages_keep_columns(spark, odd, none):
@@ -449,3 +513,16 @@ def test_main_text_is_that_of_the_article(spark):
         article = re.search(r"<article>(.*?)</article>", page.html, re.S)
         plain = html.unescape(re.sub(r"<(script|style|form)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ", article[1], flags=re.S)) if article else ""
         assert "".join(html_text.main_text(page.html).split()) == "".join(plain.split())
+        spaced = re.sub(r"</?(a|b|i|em|strong|span|code|sup|sub|u|small)\b[^>]*>", "", re.sub(r"<(script|style|form)\b.*?</\1>|<!--.*?-->", "", article[1] if article else "", flags=re.S))
+        assert html_text.main_text(page.html) == " ".join(html.unescape(re.sub("<[^>]*>", " ", spaced)).split())
+
+
+def test_main_text_of_odd_tables(spark):
+    """Nulls, empty pages, repeated rows, and columns with the operator's names."""
+    page = f"<body><article><h1>T</h1>{LONG}</article></body>"
+    rows = [(1, "u", page), (1, "u", page), (None, None, None), (2, None, ""), (3, "v", "plain"), (4, "w", "<p>" * 3 + "x" * 300_000)]
+    docs = spark.createDataFrame([(*r, "t", 1) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in html_text.extracted(docs).collect()), key=str)
+    plain = {page: "T " + re.sub("<.*?>", "", LONG), "plain": "plain", rows[5][2]: "x" * 300_000}
+    assert got == sorted(((i, u, plain.get(h, ""), len(plain.get(h, ""))) for i, u, h in rows), key=str)
+    assert html_text.extracted(docs.limit(0)).collect() == []
