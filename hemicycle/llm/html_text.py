@@ -12,7 +12,9 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Callable
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +33,11 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img".split()
 )
+BLOCKS = frozenset(
+    "#page #run address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt fieldset figcaption "
+    "figure footer form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li link main menu meta nav ol optgroup "
+    "option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
+) | (DROPPED - INLINE) | (RAW - INLINE)
 CLOSES_P = frozenset(
     "address article aside blockquote center details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main menu nav ol p pre section table ul".split()
@@ -45,6 +52,14 @@ CLUTTER = re.compile(
     r"pagination|pager|skip|toolbar|complementary|contentinfo|form|alert|disclaimer)(?:$|[\s_-])",
     re.I,
 )
+#: Of these words, those that leave no doubt; the others may be what a part of an article is about.
+CLEAR = re.compile(
+    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|popup|modal|overlay|comment|comments|commentlist|disqus|respond|"
+    r"sidebar|widget\w*|menu|nav|navbar|navigation|breadcrumb\w*|masthead|newsletter|subscribe|signup|login|pagination|pager|toolbar)(?:$|[\s_-])",
+    re.I,
+)
+#: Characters per tag below which a part of an article is no prose.
+_PROSE = 25
 #: Names that say what a page has or lacks ("no-sidebar", "has-side-nav"), not what the element is.
 _STATE = re.compile(r"(?:^|\s)(?:no|not|has|have|with|without|hide|show)[_-]\S*", re.I)
 #: Elements of a text, whose ids are the slugs of their headings.
@@ -54,17 +69,38 @@ _LARGE = 2 / 3
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 TEXTUAL = HEADINGS | frozenset("p ul ol dl blockquote pre table figure".split())
 _KEPT = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main|content)(?:$|[\s_-])", re.I)
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+_TAG = re.compile(
+    r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)"
+    # A quote that never closes: the tag ends at the next bracket.
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _BLANK = re.compile(r"\s+")
 
 
+def is_inline(tag: str) -> bool:
+    """Whether an element runs on within its line; unknown elements do."""
+    return tag in INLINE or tag not in BLOCKS
+
+
 class Node:
-    __slots__ = ("tag", "items", "parent", "dropped", "named", "attributes", "chars", "links", "tags", "link_tags", "density", "total")
+    """An element. What its place in the tree means is carried down, so that no question walks up to the root."""
+
+    __slots__ = (
+        "tag", "items", "parent", "dropped", "named", "clear", "attributes", "chars", "links", "tags", "link_tags", "density", "total",
+        "article", "main", "in_body", "open_p", "item", "first", "last",
+    )
 
     def __init__(self, tag: str, parent: Node | None, dropped: bool, named: str = "", attributes: str = ""):
         self.tag, self.parent, self.dropped, self.named, self.attributes = tag, parent, dropped, named, attributes
         self.items: list[Node | str] = []
+        self.clear = False
+        # The outermost article and main around or at the node, the paragraph that a block would end,
+        # and the nearest element that matters to the end of list items and cells.
+        self.article = parent.article if parent and parent.article else self if tag == "article" else None
+        self.main = parent.main if parent and parent.main else self if tag == "main" else None
+        self.in_body = parent is not None and (parent.in_body or parent.tag == "body")
+        self.open_p = self if tag == "p" else parent.open_p if parent and is_inline(tag) else None
+        self.item = self if tag in SCOPE or tag in ENDS_BEFORE else parent.item if parent else None
 
 
 def _hidden(tag: str, attributes: str) -> bool:
@@ -79,24 +115,37 @@ def _hidden(tag: str, attributes: str) -> bool:
     return False
 
 
-def _named(tag: str, attributes: str) -> str:
-    """The attribute that names an element as clutter, the tag of a form, or nothing."""
+def _named(tag: str, attributes: str) -> tuple[str, bool]:
+    """The attribute that names an element as clutter, the tag of a form, or nothing; whether it leaves no doubt."""
     if tag == "form":
-        return tag
-    by = ""
+        return tag, True
+    by, clear = "", False
     for name, a, b, c in _ATTRIBUTE.findall(attributes) if tag not in ("body", "html") else ():
         name, value = name.lower(), a or b or c
         if name not in ("class", "id", "role") or name == "id" and tag in SLUGGED:
             continue
         if CLUTTER.search(value if name == "role" else _STATE.sub(" ", value)) and not (name != "role" and _KEPT.search(value)):
             by = name if by in ("", "id") else by
-    return by
+            clear = clear or bool(CLEAR.search(value if name == "role" else _STATE.sub(" ", value)))
+    return by, clear
 
 
 def parse(page: str) -> Node:
     """The tree of a page; end tags that nothing opened are left out, open elements end with their parent."""
     root = node = Node("#page", None, False)
+    opened: dict[str, int] = {}
+    seen: set[tuple[Node, str]] = set()
     at = 0
+
+    def close(upto: Node) -> Node:
+        """Ends all elements from the current one to ``upto``; gives what is around it."""
+        up = node
+        while True:
+            opened[up.tag] -= 1
+            if up is upto:
+                return up.parent
+            up = up.parent
+
     while True:
         found = _TAG.search(page, at)
         if not found:
@@ -106,66 +155,66 @@ def parse(page: str) -> Node:
         if found.start() > at:
             node.items.append(page[at : found.start()])
         at = found.end()
-        tag = found[2]
+        ends_it, tag, attributes = found.group(1, 2, 3) if found[2] else found.group(4, 5, 6)
         if not tag:
             if found[0].startswith("<![CDATA["):
                 node.items.append(html.escape(found[0][9:].removesuffix("]]>"), quote=False))
             continue
         tag = tag.lower()
-        if found[1]:
-            up = node
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is not root:
-                node = up.parent
+        if ends_it:
+            if opened.get(tag):
+                up = node
+                while up.tag != tag:
+                    up = up.parent
+                node = close(up)
             continue
-        if tag in CLOSES_P:
-            up = node
-            while up.tag in INLINE:
-                up = up.parent
-            if up.tag == "p":
-                node = up.parent
-        ends = ENDS_BEFORE.get(tag)
-        if ends:
-            up = node
-            while up is not root and up.tag not in ends and up.tag not in SCOPE:
-                up = up.parent
-            if up.tag in ends:
-                node = up.parent
+        if tag in CLOSES_P and node.open_p:
+            node = close(node.open_p)
+        if ends := ENDS_BEFORE.get(tag):
+            up = node.item
+            while up and up.tag not in ends and up.tag not in SCOPE:
+                up = up.parent.item
+            if up and up.tag in ends:
+                node = close(up)
                 if tag == "tr" and node.tag == "tr":
-                    node = node.parent
-        if tag in ("html", "body") and any(isinstance(x, Node) and x.tag == tag for x in node.items):
-            continue
-        named = _named(tag, found[3])
-        if tag == "header" and not _inside(node, ("article", "main")):
-            named = tag
-        new = Node(tag, node, _hidden(tag, found[3]), named, found[3])
+                    node = close(node)
+        if tag in ("html", "body"):
+            if (node, tag) in seen:
+                continue
+            seen.add((node, tag))
+        named, clear = _named(tag, attributes)
+        if tag == "header" and not (node.article or node.main):
+            named, clear = tag, True
+        new = Node(tag, node, _hidden(tag, attributes), named, attributes)
+        new.clear = clear
         node.items.append(new)
-        if tag in VOID or found[3].endswith("/") and tag in ("path", "rect", "circle", "use"):
+        if tag in VOID or attributes.endswith("/") and tag in ("path", "rect", "circle", "use"):
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*(?:>|/|$)", re.I).search(page, at)
+            end = _raw_end(tag).search(page, at)
             closing = page.find(">", end.start()) if end else -1
             at = closing + 1 if closing >= 0 else len(page)
             continue
+        opened[tag] = opened.get(tag, 0) + 1
         node = new
 
 
-def _inside(node: Node | None, tags: tuple[str, ...]) -> bool:
-    while node is not None:
-        if node.tag in tags:
-            return True
-        node = node.parent
-    return False
+@lru_cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\s*(?:>|/|$)", re.I)
 
 
 def _order(root: Node) -> list[Node]:
-    """Nodes that may hold content, parents first."""
+    """Nodes that may hold content, parents first; each knows the places of its subtree in this order."""
     found, todo = [], [root]
     while todo:
         node = todo.pop()
+        node.first = len(found)
         found.append(node)
         todo += [x for x in reversed(node.items) if isinstance(x, Node) and not x.dropped]
+    for node in reversed(found):
+        inner = [x.last for x in node.items if isinstance(x, Node) and not x.dropped]
+        node.last = inner[-1] if inner else node.first + 1
     return found
 
 
@@ -182,7 +231,8 @@ def drop_named(root: Node) -> None:
 
     A node stays, whatever its name, if it holds a <main>, articles of at least half the text of the
     page's largest one, or most of the body's text outside links where no article lies beside it. A
-    section that only its id names stays within an article, and where no article lies beside it.
+    section that only its id names stays within an article, and where no article lies beside it. Within an
+    article a word that may be its subject drops nothing but forms, lists of links and what is no prose.
     """
     order = _order(root)
     marked = [n for n in order if n.named and n.tag not in ("article", "main")]
@@ -205,6 +255,13 @@ def drop_named(root: Node) -> None:
             mine[0], mine[1] = mine[0] + 1, mine[1] + 1
         elif node.tag == "article" and not node.named and not above[node][1]:
             mine[0], mine[2], mine[3] = mine[0] + 1, mine[2] + 1, node.chars - node.links
+    # Elements below each node, and whether it is or holds a form.
+    inner = {n: n.last - n.first - 1 for n in order}
+    forms: dict[Node, bool] = {}
+    for node in reversed(order):
+        forms[node] = node.tag == "form" or any(
+            x.tag in ("input", "select", "button", "textarea") if x.dropped else forms[x] for x in node.items if isinstance(x, Node)
+        )
     largest = max((held[n][3] for n in order if n.tag == "article"), default=0)
     for node in marked:
         count, mains, articles, text = held[node]
@@ -213,6 +270,9 @@ def drop_named(root: Node) -> None:
             continue
         if beside <= 0 and node.chars - node.links >= _LARGE * max(plain, 1):
             continue
+        if above[node][1] and not node.clear and node.links * 2 < node.chars and not forms[node]:
+            if node.tag in TEXTUAL or node.chars >= _PROSE * (1 + inner[node]):
+                continue
         node.dropped = not (node.named == "id" and node.tag == "section" and (beside <= 0 or above[node][1]))
 
 
@@ -244,7 +304,7 @@ def main_nodes(root: Node) -> list[Node]:
             node.density = chars / tags
     for node in order[1:]:
         node.parent.total += node.density
-    inside = [n for n in order if n is body or _inside(n.parent, ("body",)) or body is root]
+    inside = [n for n in order if n is body or n.in_body or body is root]
     best = max(inside, key=lambda n: n.total)
     path, up = [], best
     while up is not None and up is not body:
@@ -264,18 +324,19 @@ def main_nodes(root: Node) -> list[Node]:
         if peak[node] is not node:
             todo += [x for x in node.items if isinstance(x, Node) and not x.dropped]
     # A block that is cut into sections has its sections as children: the article around them is whole.
-    article, main = _outermost(best, "article"), _outermost(best, "main")
-    articles = [n for n in inside if n.tag == "article" and _outermost(n, "article") is n]
+    article, main = best.article, best.main
+    articles = [n for n in inside if n.article is n]
+    places = [n.first for n in articles]
     spread = [n for n in articles if not n.named and n.chars and 3 * n.links <= n.chars]
+    fit = set(spread)
     if article:
         whole = [article]
         for node in kept:
-            around = _outermost(node, "article")
-            if around:
-                whole.append(around)
-            elif any(_within(x, node) for x in articles):
-                whole += [x for x in spread if _within(x, node)]
-            elif main and _within(node, main):
+            if node.article:
+                whole.append(node.article)
+            elif bisect_left(places, node.first) < bisect_left(places, node.last):
+                whole += [x for x in articles[bisect_left(places, node.first) : bisect_left(places, node.last)] if x in fit]
+            elif main and node.main is main:
                 whole.append(_block(node, body))
         whole = [n for n in whole if n is article or not n.named]
     elif main:
@@ -285,44 +346,33 @@ def main_nodes(root: Node) -> list[Node]:
     elif best is body and 2 * sum(n.chars - n.links for n in spread) >= body.chars - body.links:
         whole = spread or [body]
     else:
-        while best.tag in INLINE or best.tag in ("p", "li", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "td", "tr", "tbody", "table", "ul", "ol"):
+        while is_inline(best.tag) or best.tag in ("p", "li", "pre", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6", "td", "tr", "tbody", "table", "ul", "ol"):
             if best is body or best.parent is None:
                 break
             best = best.parent
         whole = [best, *(_block(n, body) for n in kept)]
     chosen = set(whole)
-    chosen = {n for n in chosen if n is body or not _any_above(n, chosen)}
+    chosen = _outer(chosen)
     return _joined(chosen, body, article is not None)
 
 
-def _outermost(node: Node, tag: str) -> Node | None:
-    found = None
-    up: Node | None = node
-    while up is not None:
-        found = up if up.tag == tag else found
-        up = up.parent
+def _outer(chosen: set[Node]) -> set[Node]:
+    """The chosen nodes that lie in no other one."""
+    found: set[Node] = set()
+    end = -1
+    for node in sorted(chosen, key=lambda n: n.first):
+        if node.first >= end:
+            found.add(node)
+            end = node.last
     return found
 
 
-def _within(node: Node | None, above: Node) -> bool:
-    while node is not None and node is not above:
-        node = node.parent
-    return node is not None
-
-
-def _any_above(node: Node, chosen: set[Node]) -> bool:
-    up = node.parent
-    while up is not None and up not in chosen:
-        up = up.parent
-    return up is not None
-
-
 def _block(node: Node, body: Node) -> Node:
     """The block around inline elements and parts of a list or table."""
     up = node
-    while up.tag in INLINE or up.tag in ("li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot"):
+    while is_inline(up.tag) or up.tag in ("li", "dt", "dd", "td", "th", "tr", "tbody", "thead", "tfoot"):
         if up.parent is None or up.parent is body:
-            return node if up.tag in INLINE else up
+            return node if is_inline(up.tag) else up
         up = up.parent
     return up
 
@@ -377,10 +427,10 @@ def _runs(node: Node, alone: Callable[[Node], bool]) -> list[Node]:
     """The blocks of a node and what stands alone; text and inline elements between them as one node each."""
     found: list[Node] = []
     for x in node.items:
-        if isinstance(x, Node) and (x.dropped or x.tag not in INLINE or alone(x)):
+        if isinstance(x, Node) and (x.dropped or not is_inline(x.tag) or alone(x)):
             if not x.dropped:
                 found.append(x)
-            elif x.tag not in INLINE:
+            elif not is_inline(x.tag):
                 found.append(_run())
             continue
         if not found or found[-1].tag != "#run":
@@ -417,9 +467,9 @@ def blocks(node: Node) -> list[str]:
         elif isinstance(x, str):
             line.append(x)
         elif x.dropped:
-            if x.tag not in INLINE:
+            if not is_inline(x.tag):
                 end()
-        elif x.tag in INLINE:
+        elif is_inline(x.tag):
             todo += reversed(x.items)
         else:
             end()

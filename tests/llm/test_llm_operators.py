@@ -4,6 +4,7 @@ import collections
 import hashlib
 import html
 import re
+import time
 import zlib
 
 import numpy as np
@@ -344,6 +345,39 @@ def test_main_text_keeps_slugs():
     assert html_text.main_text(page) == f"T {plain} Related work {plain} Found"
 
 
+@pytest.mark.parametrize("page", [
+    "<div>" * 200_000 + "deep words" + "</div>" * 200_000, "<b>" * 50_000 + "<div>x</div>" * 50_000,
+    "<p><li>" + "<b>" * 50_000 + "<div>y</div><li>" * 50_000, "</i>" * 200_000 + "z", "<article>" * 50_000 + "q",
+], ids=["deep", "inline", "items", "ends", "articles"])
+def test_main_text_takes_linear_time(page):
+    start = time.process_time()
+    assert html_text.main_text(page)
+    assert time.process_time() - start < 20
+
+
+def test_main_text_keeps_what_a_word_may_be_about():
+    """Within an article a weak name drops forms, links and what is no prose; clear names still drop."""
+    text = "<p>Some long text of the article that is here for good.</p>"
+    parts = {
+        '<p class="social">A paragraph on social policy</p>': "A paragraph on social policy",
+        '<div class="search">Search theory is a field of study.</div>': "Search theory is a field of study.",
+        '<div class="share">Share it</div>': "", '<div class="related"><a href="/x">Another article that you may like to read</a></div>': "",
+        '<div class="search"><form><input></form>Search this whole site for anything you like</div>': "",
+        '<div class="ad">Buy our new product while it is on offer in your town.</div>': "",
+        '<div class="comments"><p>I do not agree at all with this article, said a reader.</p></div>': "",
+    }
+    for part, kept in parts.items():
+        got = html_text.main_text(f"<body><article>{text}{part}</article></body>")
+        assert got == f"Some long text of the article that is here for good. {kept}".strip()
+
+
+def test_main_text_of_broken_and_unknown_tags():
+    assert html_text.main_text('<body><p>hello world text</p><a "…') == "hello world text"
+    assert html_text.main_text('<body><p>one <b class="x>two</b> three</p><p>four</p>') == "one two three four"
+    assert html_text.main_text("<body><p>foo<my-tag>bar</my-tag>baz</p><x-app><div>one</div><div>two</div></x-app>").startswith("foobarbaz")
+    assert html_text.main_text("<table><tr><td>a<td>b<tr><td>c</table><ul><li>d<li>e</ul>") == "a b c d e"
+
+
 def test_main_text_of_parts():
     def part(name, n=5, size=400):
         return "".join(f"<p>{(name + str(i) + ' word' * size)[:size]}</p>" for i in range(n))
