@@ -1,13 +1,14 @@
-"""Searches by the inverted index; the SQL scans the texts."""
+"""Searches by the inverted index and pages by the page index; the SQL scans and sorts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemicycle.operators import text_index
+from hemicycle.operators import page_index, text_index
 from hemicycle.session import scratch_path
 from parity.registry import SQL, Tables, query
+from parity.star import text_dates
 
 
 def indexed(df: DataFrame, key: str, text: str, term: str) -> DataFrame:
@@ -35,3 +36,11 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     found = indexed(t.documents, "doc_id", "text", "Tion The")
     return found.select("doc_id", "lang", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query("indexed_page", SQL["recent_page"])
+def _(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "page_index")
+    order = [F.desc("o_orderdate"), F.asc("o_orderkey")]
+    page_index.build_pages(t.orders.select("o_orderkey", "o_orderdate"), order, path, 1000)
+    return text_dates(page_index.read_page(t.spark, path, order, 3, 100), "o_orderdate")
