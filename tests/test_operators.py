@@ -229,7 +229,7 @@ def test_upsert_that_dies_loses_nothing(spark, tmp_path, monkeypatch, folders):
     path, keys = str(tmp_path / "t"), ["congress", "k"]
     first, second = frame(spark, [(1, "x", "a", "t0"), (2, "y", "a", "t0")]), frame(spark, [(1, "x", "b", "t1"), (3, "z", "b", "t1")])
     merge.upsert_table(spark, path, first, keys, partition_by=folders)
-    whole = merge._rename
+    whole = merge.rename
     for dies_at, expected in ((1, "a"), (2, "b"), (3, "b")):
         calls = []
 
@@ -239,10 +239,10 @@ def test_upsert_that_dies_loses_nothing(spark, tmp_path, monkeypatch, folders):
                 raise RuntimeError("the driver died")
             whole(spark, old, new)
 
-        monkeypatch.setattr(merge, "_rename", dying)
+        monkeypatch.setattr(merge, "rename", dying)
         with pytest.raises(RuntimeError, match="died"):
             merge.upsert_table(spark, path, second, keys, partition_by=folders)
-        monkeypatch.setattr(merge, "_rename", whole)
+        monkeypatch.setattr(merge, "rename", whole)
         assert merge.table_exists(spark, path)
         got = spark.read.parquet(path).select("k", "v")
         assert rows(got) == ([("x", "a"), ("y", "a")] if expected == "a" else [("x", "b"), ("y", "a"), ("z", "b")])
