@@ -55,7 +55,8 @@ CLUTTER = re.compile(
 #: Of these words, those that leave no doubt; the others may be what a part of an article is about.
 CLEAR = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|cookie\w*|consent|gdpr|popup|modal|overlay|comment|comments|commentlist|disqus|respond|"
-    r"sidebar|widget\w*|menu|nav|navbar|navigation|breadcrumb\w*|masthead|newsletter|subscribe|signup|login|pagination|pager|toolbar)(?:$|[\s_-])",
+    r"sidebar|widget\w*|menu|nav|navbar|navigation|breadcrumb\w*|masthead|newsletter|subscribe|signup|login|pagination|pager|toolbar|"
+    r"notice|notification|alert|disclaimer|banner|footer|copyright)(?:$|[\s_-])",
     re.I,
 )
 #: Characters per tag below which a part of an article is no prose.

@@ -363,6 +363,7 @@ def test_main_text_keeps_what_a_word_may_be_about():
         '<div class="search">Search theory is a field of study.</div>': "Search theory is a field of study.",
         '<div class="share">Share it</div>': "", '<div class="related"><a href="/x">Another article that you may like to read</a></div>': "",
         '<div class="search"><form><input></form>Search this whole site for anything you like</div>': "",
+        '<div class="notice">This site keeps small files to give you the best of it.</div>': "",
         '<div class="ad">Buy our new product while it is on offer in your town.</div>': "",
         '<div class="comments"><p>I do not agree at all with this article, said a reader.</p></div>': "",
     }
