@@ -23,18 +23,22 @@ COMMON = 0.1
 _FILL = "\0"
 
 
-def grams_of(text: Column | str) -> Column:
-    """Distinct grams of a text in lower case, one from every letter on; none of a null or empty text."""
-    low = F.lower(F.col(text) if isinstance(text, str) else text)
-    filled = F.concat(low, F.lit(_FILL * (GRAM - 1)))
-    starts = F.when(F.length(low) > 0, F.sequence(F.lit(1), F.length(low)))
-    return F.array_distinct(F.coalesce(F.transform(starts, lambda i: F.substr(filled, i, F.lit(GRAM))), F.array().cast("array<string>")))
+def grams_of(letters: str) -> Column:
+    """Distinct grams of a text given as an array of its letters, one from every letter on; none of null."""
+
+    def gram(letter: Column, i: Column) -> Column:
+        return F.concat(letter, *[F.coalesce(F.get(letters, i + n), F.lit(_FILL)) for n in range(1, GRAM)])
+
+    return F.array_distinct(F.transform(letters, gram))
 
 
 def build_index(rows: DataFrame, key: str, text: str, path: str) -> None:
     """Writes the index of ``text`` by ``key`` (rows that share a key are found together), replacing an older one."""
     spark = rows.sparkSession
-    postings = rows.select(F.col(key).alias("key"), F.explode(grams_of(text)).alias("gram")).distinct()
+    # Letters as an array and a column of their own: places in a text are found by walking, and what a
+    # function of the array's elements looks into would be made again for each of them.
+    letters = rows.select(F.col(key).alias("key"), F.regexp_extract_all(F.lower(text), F.lit("(?s)."), F.lit(0)).alias("letters"))
+    postings = letters.select("key", F.explode(grams_of("letters")).alias("gram")).distinct()
     ordered = postings.repartitionByRange("gram", "key").sortWithinPartitions("gram", "key")
     ordered.write.mode("overwrite").parquet(f"{path}/postings")
     counts = spark.read.parquet(f"{path}/postings").groupBy("gram").agg(F.count("*").alias("n"))

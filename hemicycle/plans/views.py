@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hemicycle.functions.votes import PARTY_LETTERS, member_label
@@ -102,6 +102,15 @@ def ballots_in_context(fact: DataFrame, context: DataFrame, members: DataFrame)
     )
 
 
+def votes_about(fact: DataFrame, context: DataFrame, members: DataFrame, about: Column) -> DataFrame:
+    """:func:`ballots_in_context` of the roll calls that ``about`` holds for, a condition on their shown columns.
+
+    The condition goes to the stored context, whose roll calls then tell the scan of the fact which
+    congress folders to read: Spark prunes them while the query runs, as the filter names no congress.
+    """
+    return ballots_in_context(fact, context.filter(about), members)
+
+
 def sponsored_bills_by_member(sponsors: DataFrame, bills: DataFrame, members: DataFrame) -> DataFrame:
     """Bills a known member sponsored or cosponsored."""
     names = members.select("bioguideID", F.col("invertedOrderName").alias("name"))

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hemicycle.plans import running
+from hemicycle.plans import running, views
 from hemicycle.plans.pipeline import FACT as FACT_TABLE, MODELS
-from hemicycle.session import scratch_path
+from hemicycle.session import scratch_path, stored
 from hemicycle.sources import readers, sinks
 from hemicycle.streaming import delivery
 from parity import shapes
 from parity.registry import Tables, query
-from parity.star import _ALIGNED, Star
+from parity.star import _ALIGNED, Star, text_dates
 from parity.star_sql import FACT, star
 
 #: Orders of each run, and how far their votes are shifted: later runs deliver some ballots again, corrected.
@@ -72,3 +72,14 @@ def _(t: Tables) -> DataFrame:
             sinks.write_run(rows, f"{landing}/{kind}", f"2023-01-0{n}", 1_000_000)
         delivery.deliver(t.spark, landing, "", tables, marks, kinds=(readers.HOUSE_VOTES, readers.SENATE_VOTES))
     return t.spark.read.parquet(f"{tables}/{FACT_TABLE}").drop("flowDate")
+
+
+@query("votes_about", star("SELECT * FROM vbm WHERE result = 'Passed' AND vote_date BETWEEN '1996-03-01' AND '1996-09-30'", "vbm"))
+def _(t: Tables) -> DataFrame:
+    """Ballots of some roll calls, from a stored fact in congress folders."""
+    s, path = Star(t), scratch_path(t.spark, "votes_about")
+    s.fact.hint("rebalance", "congress").write.partitionBy("congress").parquet(path)
+    context = stored(views.roll_call_context(s.fact, shapes.roll_calls(t.orders), s.bills), "roll_call_context")
+    about = (F.col("result") == "Passed") & F.col("vote_date").between("1996-03-01", "1996-09-30")
+    fact = t.spark.read.schema(f"{s.fact.drop('congress').schema.simpleString()[7:-1].replace(':', ' ')}, congress bigint").parquet(path)
+    return text_dates(views.votes_about(fact, context, s.dim_members, about), "vote_date")

@@ -129,3 +129,16 @@ def test_repeated_ballots_fail_without_an_order(spark, folders):
     with pytest.raises(Exception, match="repeats a key"):
         running.apply_run(spark, tables, state, "1", twice, KEYS)
     assert running.batches(spark, state) == [] and unique_source(twice, KEYS, [F.asc("vote")]).count() == 1
+
+
+def test_roll_calls_prune_the_folders_of_the_fact(spark, folders, members):
+    """A condition on roll calls that names no congress: the scan of the fact gets its folders while it runs."""
+    tables, state = folders
+    frames = [ballots(spark, c, r, RUN1) for c, r in ((117, 1), (118, 2))]
+    running.apply_run(spark, tables, state, "1", frames[0].union(frames[1]), KEYS)
+    fact, votes, bills = (spark.read.parquet(f"{tables}/{n}") for n in ("fact_roll_call_vote", "dim_votes", "dim_bills"))
+    context = running.stored(views.roll_call_context(None, votes, bills, majority=running.majority_table(spark, state)), "context")
+    about = (F.col("title") == "Act 2") & (F.col("dem_majority_vote") == "Yea")
+    found = views.votes_about(fact, context, members, about)
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == rows(views.votes_by_member(fact, votes, members, bills).filter(about)) and found.count() == 7

@@ -8,7 +8,7 @@ from hemicycle.operators.filters import search_text
 
 TITLES = [
     (1, "A bill to amend the Tax Code"), (2, "the TAX act"), (3, "To"), (4, "t"), (5, ""), (6, None), (7, "Étude İstanbul 한국어"), (8, "100% [a.b] _x_\0y"),
-    (9, "aaaaaa"), (9, "another title of nine"), (None, "a title without a key"), *[(100 + i, f"resolution number {i} of the House") for i in range(60)],
+    (9, "aaaaaa"), (10, "line\nbreak \U0001f600\U0001f601!"), (9, "another title of nine"), (None, "a title without a key"), *[(100 + i, f"resolution number {i} of the House") for i in range(60)],
 ]
 
 
@@ -20,7 +20,7 @@ def index(spark, tmp_path_factory):
     return titles, path
 
 
-@pytest.mark.parametrize("term", ["tax", "TAX C", "the", "to", "T", "", "zzz", "tax zzz", "étude i", "국어", "% [A.B]", "_X", "aaaa", "aaaaaaa", "title", "number 5", "x_\0", "q", "59"])
+@pytest.mark.parametrize("term", ["tax", "TAX C", "the", "to", "T", "", "zzz", "tax zzz", "étude i", "국어", "% [A.B]", "_X", "aaaa", "aaaaaaa", "title", "number 5", "x_\0", "q", "59", "E\nB", "\U0001f600\U0001f601!", "\U0001f601"])
 def test_same_rows_as_a_scan(index, term):
     titles, path = index
     # A row without a key is in no index.
