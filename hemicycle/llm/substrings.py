@@ -39,7 +39,7 @@ MINIMISER = 8
 #: Windows of a super-k-mer at most; a longer run of equal minimisers is cut, nothing is lost.
 RUN = 256
 #: Distinct super-k-mers of a minimiser that one bucket takes.
-LIMIT = 256
+LIMIT = 2048
 
 _CACHE = WordHashes()
 
