@@ -38,26 +38,21 @@ def most_recent_chamber(terms: DataFrame, members: DataFrame) -> DataFrame:
     join that says who is serving; the semi and anti join of the two cases become one
     outer join of frames with one row per member. Terms without a member id are left out.
     """
-    by_start, by_end = (
-        [F.col(c).alias(f"{n:02d}_{c}") for n, c in enumerate([first, *rest])]
-        for first, rest in (
-            ("term_start_year", ["term_end_year", *_TERM_TIES]),
-            ("term_end_year", ["term_start_year", *_TERM_TIES]),
-        )
-    )
-    term = F.struct(*[F.col(c) for c in terms.columns if c != "bioguideID"])
+    # The columns that rank the terms come first, each once: the structs are sorted, so they stay narrow.
+    years = ["term_start_year", "term_end_year"]
+    others = [c for c in terms.columns if c not in ("bioguideID", *years, *_TERM_TIES)]
+    by_start, by_end = (F.struct(*first, *_TERM_TIES, *others) for first in (years, years[::-1]))
     picked = (
         terms.filter(F.col("bioguideID").isNotNull())
-        .select("bioguideID", F.struct(*by_start, term.alias("term")).alias("s"), F.struct(*by_end, term.alias("term")).alias("e"))
         .groupBy("bioguideID")
-        .agg(F.max("s").alias("s"), F.max("e").alias("e"))
+        .agg(F.max(by_start).alias("s"), F.max(by_end).alias("e"))
     )
     serving = (
         members.filter("currentMember").select(F.col("bioguideId").alias("bioguideID"))
         .distinct().withColumn("serving", F.lit(True))
     )
-    chosen = F.when(F.col("serving"), F.col("s.term")).otherwise(F.col("e.term")).alias("term")
-    return picked.join(serving, "bioguideID", "left").select("bioguideID", chosen).select("bioguideID", "term.*")
+    chosen = [F.when(F.col("serving"), F.col(f"s.{c}")).otherwise(F.col(f"e.{c}")).alias(c) for c in terms.columns if c != "bioguideID"]
+    return picked.join(serving, "bioguideID", "left").select("bioguideID", *chosen)
 
 
 def senate_ids(ids: DataFrame, overrides: DataFrame) -> DataFrame:

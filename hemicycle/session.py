@@ -15,6 +15,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hot roll calls and members are split at run time instead of by a fixed salt.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Short texts that are alike shrink to a tenth in a shuffle: 64 MB of them would be a sort of a GB in one task.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16777216",
     # Landing files are many and small: pack about a thousand into a scan task of 128 MB.
     "spark.sql.files.maxPartitionBytes": "134217728",
     "spark.sql.files.openCostInBytes": "131072",

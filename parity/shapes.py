@@ -33,6 +33,14 @@ def dealt(orders: DataFrame) -> DataFrame:
     return narrow.repartition(int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
 
 
+def dealt_customers(customer: DataFrame) -> DataFrame:
+    """The columns that members and their ids are made of, dealt by key for the same reason.
+
+    Few enough to be put together in tasks of the advisory size.
+    """
+    return customer.select("c_custkey", "c_nationkey", "c_name", "c_mktsegment", "c_acctbal").repartition("c_custkey")
+
+
 def documents(orders: DataFrame) -> DataFrame:
     """Common columns of the documents."""
     return orders.selectExpr(
@@ -180,7 +188,7 @@ def members(customer: DataFrame) -> DataFrame:
         )
     )
     party = "CASE WHEN {x} % 10 < 5 THEN 'Democratic' WHEN {x} % 10 < 9 THEN 'Republican' ELSE 'Libertarian' END"
-    base = customer.selectExpr(
+    base = dealt_customers(customer).selectExpr(
         "c_custkey AS k", "CAST(c_nationkey AS BIGINT) AS n", "c_name", "c_mktsegment AS seg", "c_acctbal > 4000 AS cur"
     )
     return base.selectExpr(
@@ -203,7 +211,7 @@ def members(customer: DataFrame) -> DataFrame:
 
 def senate_ids(customer: DataFrame) -> DataFrame:
     """Senator id landing rows: every customer, some with two ids."""
-    return customer.selectExpr(
+    return dealt_customers(customer).selectExpr(
         "concat('{\"first_name\":\"', c_mktsegment, '\",\"last_name\":\"', c_name, '\"}') AS full_name",
         "concat('N', c_nationkey) AS state",
         "concat('C', c_custkey) AS bioguide",
