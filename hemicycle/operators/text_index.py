@@ -8,9 +8,9 @@ beginnings of grams. What the index finds is checked exactly, so grams only have
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hemicycle.operators.filters import search_text
@@ -23,23 +23,68 @@ COMMON = 0.1
 _FILL = "\0"
 
 
-def grams_of(letters: str) -> Column:
-    """Distinct grams of a text given as an array of its letters, one from every letter on; none of null."""
-
-    def gram(letter: Column, i: Column) -> Column:
-        return F.concat(letter, *[F.coalesce(F.get(letters, i + n), F.lit(_FILL)) for n in range(1, GRAM)])
-
-    return F.array_distinct(F.transform(letters, gram))
+#: Letters and texts that are cut into grams at a time; a longer text is cut alone.
+LETTERS_AT_A_TIME, TEXTS_AT_A_TIME = 1 << 20, 1024
+#: Letters of texts whose grams are sorted by one task; there are no more grams than letters.
+LETTERS_PER_TASK = 1 << 22
+
+
+def gram_cutter() -> Callable[[Iterator], Iterator]:
+    """The cutter of texts; a function of its own, so that workers get its code and need not import this module."""
+
+    def grams_of(batches: Iterator) -> Iterator:
+        """Arrow batches of (key, text) to batches of (key, gram): the distinct grams of each text, one from every letter on."""
+        import numpy as np
+        import pyarrow as pa
+
+        def cut(keys: pa.Array, texts: list[str]) -> pa.RecordBatch:
+            lengths = np.array([len(t) for t in texts])
+            # The fill after each text ends its last grams.
+            fill = _FILL * (GRAM - 1)
+            letters = np.frombuffer((fill.join(texts) + fill).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+            text = np.repeat(np.arange(len(texts)), lengths)
+            place = np.arange(len(text)) + text * (GRAM - 1)
+            codes = letters[place]
+            for n in range(1, GRAM):
+                codes = codes << 21 | letters[place + n]
+            found, which = np.unique(codes, return_inverse=True)
+            has = np.zeros((len(texts), len(found)), dtype=bool)
+            has[text, which] = True
+            text, which = np.nonzero(has)
+            names = pa.array(["".join(chr(int(code) >> 21 * n & 0x1FFFFF) for n in reversed(range(GRAM))) for code in found], pa.string())
+            return pa.RecordBatch.from_arrays([keys.take(pa.array(text)), names.take(pa.array(which))], ["key", "gram"])
+
+        for batch in batches:
+            keys, texts, begin, letters = batch.column(0), batch.column(1).to_pylist(), 0, 0
+            for n, text in enumerate(texts):
+                if n > begin and (letters + len(text) > LETTERS_AT_A_TIME or n - begin >= TEXTS_AT_A_TIME):
+                    yield cut(keys.slice(begin, n - begin), texts[begin:n])
+                    begin, letters = n, 0
+                letters += len(text)
+            if begin < len(texts):
+                yield cut(keys.slice(begin), texts[begin:])
+
+    return grams_of
 
 
 def build_index(rows: DataFrame, key: str, text: str, path: str) -> None:
     """Writes the index of ``text`` by ``key`` (rows that share a key are found together), replacing an older one."""
     spark = rows.sparkSession
-    # Letters as an array and a column of their own: places in a text are found by walking, and what a
-    # function of the array's elements looks into would be made again for each of them.
-    letters = rows.select(F.col(key).alias("key"), F.regexp_extract_all(F.lower(text), F.lit("(?s)."), F.lit(0)).alias("letters"))
-    postings = letters.select("key", F.explode(grams_of("letters")).alias("gram")).distinct()
-    ordered = postings.repartitionByRange("gram", "key").sortWithinPartitions("gram", "key")
+    texts = rows.select(F.col(key).alias("key"), F.make_valid_utf8(F.lower(text)).alias("text")).filter("key is not null and text <> ''")
+    keys = texts.groupBy("key").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("letters"))
+    repeated, letters = keys.agg(F.count_if(F.col("n") > 1), F.coalesce(F.sum("letters"), F.lit(0))).first()
+    # Dealt before they grow, as a table may be one row group.
+    dealt = texts.repartition("key", "text")
+    schema = texts.select("key", F.lit("").alias("gram")).schema
+    if repeated:
+        # A text has each of its grams once; only rows that share a key can repeat one.
+        keys.filter("n > 1").select("key").write.mode("overwrite").parquet(f"{path}/repeated")
+        often = spark.read.parquet(f"{path}/repeated")
+        once, more = (dealt.join(often, "key", how).mapInArrow(gram_cutter(), schema) for how in ("left_anti", "left_semi"))
+        postings = once.unionByName(more.distinct())
+    else:
+        postings = dealt.mapInArrow(gram_cutter(), schema)
+    ordered = postings.repartitionByRange(max(1, -(-letters // LETTERS_PER_TASK)), "gram", "key").sortWithinPartitions("gram", "key")
     ordered.write.mode("overwrite").parquet(f"{path}/postings")
     counts = spark.read.parquet(f"{path}/postings").groupBy("gram").agg(F.count("*").alias("n"))
     # The empty gram stands for all keys.

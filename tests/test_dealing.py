@@ -1,6 +1,8 @@
 """Tables that are one row group are dealt to tasks before they grow."""
 
 from conftest import rows
+from hemicycle.operators import text_index
+from hemicycle.operators.filters import search_text
 from hemicycle.plans import members as mem
 from hemicycle.session import SQL_SETTINGS
 from parity import shapes
@@ -28,3 +30,18 @@ def test_a_ranked_term_holds_every_column_once(spark):
     assert rows(mem.most_recent_chamber(terms.filter("bioguideID = 'A'"), serving).select("note")) == [("late",)]
     plan = recent._jdf.queryExecution().optimizedPlan().toString()
     assert "term, struct(" not in plan
+
+
+def test_tasks_of_an_index_are_bounded_by_letters(spark, tmp_path, monkeypatch):
+    # One partition, as of one row group; a long text, texts of one key, a text of letters beyond 16 bits.
+    texts = [(n, f"Title number {n} of all") for n in range(40)] + [(7, "title number 7"), (7, "TITLE NUMBER 7"), (50, "ab" * 3000), (51, "\U0001f600a\U0001f600"), (None, "title"), (52, None)]
+    titles = spark.createDataFrame(texts, "id long, title string").coalesce(1)
+    path = str(tmp_path)
+    monkeypatch.setattr(text_index, "LETTERS_PER_TASK", 1000)
+    text_index.build_index(titles, "id", "title", path)
+    postings = spark.read.parquet(f"{path}/postings")
+    assert len(postings.inputFiles()) >= 5
+    assert postings.count() == postings.distinct().count() and postings.filter("key = 50").count() == 4
+    keyed = titles.filter("id is not null")
+    for term in ("title number 7", "7", "bab", "\U0001f600A\U0001f600", "zz"):
+        assert rows(text_index.search_index(keyed, "id", "title", term, path)) == rows(search_text(keyed, "title", term))
