@@ -1,7 +1,9 @@
 """Tables that are one row group are dealt to tasks before they grow."""
 
+from pyspark.sql import functions as F
+
 from conftest import rows
-from hemicycle.operators import text_index
+from hemicycle.operators import page_index, text_index
 from hemicycle.operators.filters import search_text
 from hemicycle.plans import members as mem
 from hemicycle.session import SQL_SETTINGS
@@ -45,3 +47,17 @@ def test_tasks_of_an_index_are_bounded_by_letters(spark, tmp_path, monkeypatch):
     keyed = titles.filter("id is not null")
     for term in ("title number 7", "7", "bab", "\U0001f600A\U0001f600", "zz"):
         assert rows(text_index.search_index(keyed, "id", "title", term, path)) == rows(search_text(keyed, "title", term))
+
+
+def test_ranges_of_pages_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(page_index, "MAX_RANGES", 3)
+    order = [F.desc_nulls_last("day"), F.asc("id")]
+    table = spark.range(200).select("id", F.when(F.col("id") % 9 > 0, F.col("id") % 4).alias("day"))
+    page_index.build_pages(table, order, str(tmp_path), 10)
+    assert 2 <= len(page_index.ranges_of(spark, str(tmp_path))) <= 3
+    whole = table.orderBy(*order).collect()
+    for number in range(1, 10):
+        found = page_index.read_page(spark, str(tmp_path), order, number, 25)
+        assert found.collect() == whole[25 * (number - 1) : 25 * number]
+    # The place goes to the scan, which so skips pages of a range's file.
+    assert "GreaterThanOrEqual(__place" in page_index.read_page(spark, str(tmp_path), order, 2, 25)._jdf.queryExecution().executedPlan().toString()
