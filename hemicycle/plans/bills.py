@@ -51,14 +51,13 @@ def _items(bills: DataFrame, col: str, path: str = "$.item") -> DataFrame:
 def dim_sponsors(bills: DataFrame) -> DataFrame:
     """Member and role per bill. A member may hold both roles; each role is listed once."""
 
-    def role(col: str, name: str) -> DataFrame:
-        items = _items(bills, col)
-        found = items.select(
-            "bill_key", scalar_at(items, "item", "$.bioguideId").alias("bioguideID"), F.lit(name).alias("sponsor_type")
-        )
-        return found.distinct()
-
-    return role("sponsors", "Sponsor").unionByName(role("cosponsors", "Cosponsor"))
+    def role(col: str, name: str) -> Column:
+        return F.transform(array_at(bills, col, "$.item"), lambda item: F.struct(item.alias("item"), F.lit(name).alias("sponsor_type")))
+
+    # Both roles in one pass over the bills, which are wide or made from texts; a part that is missing is null.
+    roles = F.flatten(F.filter(F.array(role("sponsors", "Sponsor"), role("cosponsors", "Cosponsor")), lambda r: r.isNotNull()))
+    items = bills.select("bill_key", F.explode(roles).alias("held")).select("bill_key", "held.*")
+    return items.select("bill_key", scalar_at(items, "item", "$.bioguideId").alias("bioguideID"), "sponsor_type").distinct()
 
 
 def dim_bill_subjects(bills: DataFrame) -> DataFrame:

@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from conftest import rows
+from hemicycle.functions.json import parse_parts
 from hemicycle.operators import page_index, text_index
 from hemicycle.operators.filters import search_text
 from hemicycle.plans import members as mem
+from hemicycle.plans.bills import dim_sponsors
 from hemicycle.session import SQL_SETTINGS
 from parity import shapes
 
@@ -61,3 +63,16 @@ def test_ranges_of_pages_are_bounded(spark, tmp_path, monkeypatch):
         assert found.collect() == whole[25 * (number - 1) : 25 * number]
     # The place goes to the scan, which so skips pages of a range's file.
     assert "GreaterThanOrEqual(__place" in page_index.read_page(spark, str(tmp_path), order, 2, 25)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sponsors_take_one_pass_over_the_bills(spark):
+    item = '{"item":[{"bioguideId":"%s"},{"bioguideId":"%s"}]}'
+    bills = spark.createDataFrame(
+        [("a", item % ("A", "B"), None), ("b", None, item % ("A", "A")), ("c", None, None), ("d", '{"item":[]}', "no json"), ("e", item % ("A", "B"), item % ("B", "C")), (None, item % ("Z", "Z"), None)],
+        "bill_key string, sponsors string, cosponsors string",
+    )
+    expected = [("a", "A", "Sponsor"), ("a", "B", "Sponsor"), ("b", "A", "Cosponsor"), ("e", "A", "Sponsor"), ("e", "B", "Sponsor"), ("e", "B", "Cosponsor"), ("e", "C", "Cosponsor"), (None, "Z", "Sponsor")]
+    for made in (bills, parse_parts(bills, ["sponsors", "cosponsors"])):
+        found = dim_sponsors(made)
+        assert rows(found) == sorted(expected, key=lambda r: [(v is None, str(v)) for v in r])
+        assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
