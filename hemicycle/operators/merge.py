@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -24,10 +24,11 @@ def unique_source(source: DataFrame, keys: Sequence[str], order: Sequence[Column
     """The source with one row per key.
 
     With ``order`` the first row of each key is kept. Without it the rows pass unchanged
-    and a repeated key fails the job when it runs.
+    and a repeated key fails the job when it runs. The rows are sorted by a hash of the key
+    first, which settles most comparisons by one number instead of by many texts.
     """
     if order is not None:
-        return top_per_group(source, keys, order)
+        return top_per_group(source, [F.xxhash64(*keys), *keys], order)
     rest = [c for c in source.columns if c not in keys]
     counted = source.groupBy(*keys).agg(F.count("*").alias("__n"), *[F.any_value(c).alias(c) for c in rest])
     once = F.assert_true(F.col("__n") == 1, F.lit(f"merge source repeats a key of {', '.join(keys)}"))
@@ -59,8 +60,7 @@ def _merged(target: DataFrame, new: DataFrame, keys: Sequence[str], exclude: Seq
     rest = [c for c in target.columns if c not in keys]
     old = target.select(*[F.col(c).alias(f"__t_{c}") for c in target.columns], F.lit(True).alias("__t"))
     new = new.select(*[F.col(c).alias(f"__s_{c}") for c in new.columns], F.lit(True).alias("__s"))
-    same = reduce(lambda a, b: a & b, [F.col(f"__t_{k}").eqNullSafe(F.col(f"__s_{k}")) for k in keys])
-    joined = old.join(new, same, "full_outer")
+    joined = join_on_key(old, new, {f"__t_{k}": f"__s_{k}" for k in keys}, "full_outer")
 
     later = F.lit(False)
     if version:
@@ -80,6 +80,21 @@ def _merged(target: DataFrame, new: DataFrame, keys: Sequence[str], exclude: Seq
     return joined.select(*[picked[c] for c in target.columns])
 
 
+def join_on_key(left: DataFrame, right: DataFrame, keys: Mapping[str, str], how: str) -> DataFrame:
+    """Join of frames without a column name in common on pairs of key parts, compared null-safe.
+
+    A hash of the parts that have the same type on both sides leads the key, so that the sort of
+    a join compares one number for most rows; equal parts have equal hashes.
+    """
+    kinds, others = dict(left.dtypes), dict(right.dtypes)
+    same = [F.col(l).eqNullSafe(F.col(r)) for l, r in keys.items()]
+    alike = {l: r for l, r in keys.items() if kinds[l] == others[r]}
+    if alike:
+        left, right = left.withColumn("__l", F.xxhash64(*alike)), right.withColumn("__r", F.xxhash64(*alike.values()))
+        same = [F.col("__l") == F.col("__r"), *same]
+    return left.join(right, reduce(lambda a, b: a & b, same), how).drop("__l", "__r")
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table is stored at ``path``.
 
@@ -104,6 +119,7 @@ def upsert_table(
     order: Sequence[Column] | None = None,
     partition_by: str | None = None,
     version: Sequence[str] = (),
+    unique: bool = False,
 ) -> None:
     """Upsert into a Parquet table, made on first use.
 
@@ -111,17 +127,18 @@ def upsert_table(
     and rewritten. The merged rows are written beside the table (``<path>.writing``), named
     ``<path>.ready`` once complete, and only then take the place of what they replace. A job that
     dies before that leaves the table as it was; one that dies after it is finished by the next
-    call. Needs a file system that renames folders at once.
+    call. Needs a file system that renames folders at once. ``unique`` says that the source is
+    stored and was made unique on the keys before, so that neither is done again.
     """
     if partition_by and partition_by not in keys:
         raise ValueError("partition_by must be part of the key")
-    new = unique_source(source, keys, order)
+    new = source if unique else unique_source(source, keys, order)
     if table_exists(spark, path):
         target = spark.read.parquet(path)
         if partition_by:
             # Written once, as both the folders and the rows are taken from it. At most one value per
             # folder comes to the driver; the filter prunes folders.
-            new = stored(new, "upsert_source")
+            new = new if unique else stored(new, "upsert_source")
             touched = [r[0] for r in new.select(partition_by).distinct().collect()]
             known = F.col(partition_by).isin([v for v in touched if v is not None])
             target = target.filter(known | F.col(partition_by).isNull() if None in touched else known)

@@ -77,7 +77,8 @@ def dim_house_votes(votes: DataFrame) -> DataFrame:
         whole("vote_totals.totals_by_vote.not_voting_total").alias("not_voting_totals"),
         F.col("vote_totals.totals_by_party").alias("totals"),
     )
-    rows = unnest(rows, "totals", "by_party")
+    # Repeated documents of a roll call go before their totals are unnested.
+    rows = unnest(rows.distinct(), "totals", "by_party")
     counted = {c: whole(f"by_party.{c}") for c in ("yea_total", "nay_total", "present_total", "not_voting_total")}
     flat = rows.withColumns({"party": F.col("by_party.party"), **counted}).drop("by_party").distinct()
     detail = flat.drop("party", *counted)
