@@ -23,15 +23,13 @@ from pyspark.sql import functions as F
 from hemicycle.functions.votes import PARTY_LETTERS, was_cast
 from hemicycle.operators.filters import where_all
 from hemicycle.operators.majority import majority_of_counts, vote_counts
-from hemicycle.operators.merge import files_of, rename, table_exists, unique_source, upsert_table
+from hemicycle.operators.merge import files_of, join_on_key, rename, table_exists, unique_source, upsert_table
 from hemicycle.operators.dedupe import top_per_group
 from hemicycle.plans.reports import FLAGS, MEMBER
 from hemicycle.plans.views import MAJORITY, MAJORITY_KEY, member_lookup
 from hemicycle.session import stored
 
 ROLL = ["congress", "session", "chamber", "roll_call_number", "bill_name", "bill_key"]
-BALLOT = [*ROLL, "id_kind", "id", "party", "vote"]
-_BALLOT_KEY = ["congress", "session", "chamber", "roll_call_number", "bill_key", "id_kind", "id"]
 _CONTEXT = [*MAJORITY.values(), "policyArea"]
 SUMS = ["n", "votes_cast", *[f"with_{letter}" for letter in MAJORITY]]
 _GROUP = ["congress", "chamber", "policyArea", "id_kind", "id"]
@@ -68,9 +66,10 @@ def read_state(spark: SparkSession, state: str, table: str, congresses: Collecti
 def _write(df: DataFrame, state: str, table: str, batch: str) -> None:
     spark = df.sparkSession
     target, ready = f"{state}/{table}/batch={batch}", f"{state}/_writing/{table}"
-    # A task writes to few folders; a folder that is too large is split.
-    writer = df.hint("rebalance", "congress").write.mode("overwrite")
-    (writer if table == _BALLOTS else writer.partitionBy("congress")).parquet(ready)
+    if table == _BALLOTS:  # in no folders
+        df.write.mode("overwrite").parquet(ready)
+    else:  # A task writes to few folders; a folder that is too large is split.
+        df.hint("rebalance", "congress").write.mode("overwrite").partitionBy("congress").parquet(ready)
     files, make = files_of(spark, state)
     files.delete(make(target), True)
     files.mkdirs(make(f"{state}/{table}"))
@@ -83,28 +82,38 @@ def summed(df: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame
     return left.filter(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in sums]))
 
 
-def ballots_of(fact: DataFrame) -> DataFrame:
+def ballots_of(fact: DataFrame, *more: str) -> DataFrame:
     """Ballots under the one id that each has."""
     kind = F.when(F.col("bioguideID").isNotNull(), "bioguideID").otherwise("lisid")
-    return fact.select(*ROLL, kind.alias("id_kind"), F.coalesce("bioguideID", "lisid").alias("id"), "party", "vote")
+    return fact.select(*ROLL, kind.alias("id_kind"), F.coalesce("bioguideID", "lisid").alias("id"), "party", "vote", *more)
 
 
-def changes(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Ballots that are added (``sign`` 1) and those whose place they take (-1); unchanged ones cancel out."""
-    same = reduce(lambda a, b: a & b, [old[k].eqNullSafe(new[k]) for k in _BALLOT_KEY])
-    replaced = old.join(new, same, "left_semi").withColumn("sign", F.lit(-1))
-    return summed(replaced.unionByName(new.withColumn("sign", F.lit(1))), BALLOT, ["sign"])
+def changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Ballots that are added (``sign`` 1) and those whose place they take (-1); unchanged ones are left out.
+
+    Both are rows of the fact, unique on its keys, so one join tells which row takes whose place.
+    """
+    columns = list(dict.fromkeys([*keys, *ROLL, "bioguideID", "lisid", "party", "vote"]))
+    before = old.select(*[F.col(c).alias(f"__o_{c}") for c in columns], F.lit(True).alias("__o"))
+    pairs = join_on_key(new.select(*columns), before, {k: f"__o_{k}" for k in keys}, "left")
+    added = F.struct(*columns, F.lit(1).cast("long").alias("sign"))
+    taken = F.struct(
+        *[F.col(f"__o_{c}").cast(kind).alias(c) for c, kind in new.select(*columns).dtypes], F.lit(-1).cast("long").alias("sign")
+    )
+    unchanged = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in columns if c not in keys])
+    both = F.when(F.col("__o").isNull(), F.array(added)).when(~unchanged, F.array(taken, added))
+    return ballots_of(pairs.select(F.explode(both).alias("b")).select("b.*"), "sign")
 
 
 def contributions(ballots: DataFrame, contexts: DataFrame) -> DataFrame:
-    """Signed sums per member and scope; a ballot counts once for each roll call that it belongs to."""
+    """What signed ballots add per member and scope; a ballot counts for each roll call that it belongs to, by both signs."""
     cast = was_cast("vote")
     hits = [(F.col(column) == F.col("vote")).alias(f"with_{letter}") for letter, column in MAJORITY.items()]
-    rows = ballots.join(contexts.select(*ROLL, *_CONTEXT), ROLL).select(
+    signed = ballots.join(contexts.select(*ROLL, *_CONTEXT, F.col("sign").alias("__sign")), ROLL)
+    return signed.withColumn("sign", F.col("sign") * F.col("__sign")).select(
         *_GROUP, F.col("sign").alias("n"), (F.col("sign") * cast).alias("votes_cast"),
         *[F.when(F.coalesce(hit, F.lit(False)), F.col("sign")).otherwise(0).alias(f"with_{letter}") for letter, hit in zip(MAJORITY, hits, strict=True)],
     )
-    return summed(rows, _GROUP, SUMS)
 
 
 def apply_run(
@@ -120,7 +129,7 @@ def apply_run(
     _finish(spark, tables, state, keys)
     batch = f"{len(batches(spark, state)):06d}-{name}"
     _write(unique_source(ballots, keys, order), state, _BALLOTS, batch)
-    _add_batch(spark, tables, state, batch, also)
+    _add_batch(spark, tables, state, batch, keys, also)
     _finish(spark, tables, state, keys)
 
 
@@ -135,19 +144,19 @@ def _finish(spark: SparkSession, tables: str, state: str, keys: Sequence[str]) -
         if folder.removeprefix("batch=") in complete:
             source = spark.read.parquet(f"{state}/{_BALLOTS}/{folder}")
             if source.columns:
-                upsert_table(spark, f"{tables}/fact_roll_call_vote", source, keys, partition_by="congress")
+                upsert_table(spark, f"{tables}/fact_roll_call_vote", source, keys, partition_by="congress", unique=True)
         files.delete(make(f"{state}/{_BALLOTS}/{folder}"), True)
 
 
-def _add_batch(spark: SparkSession, tables: str, state: str, batch: str, also: Collection[int]) -> None:
+def _add_batch(spark: SparkSession, tables: str, state: str, batch: str, keys: Sequence[str], also: Collection[int]) -> None:
     path = f"{tables}/fact_roll_call_vote"
-    new = ballots_of(spark.read.parquet(f"{state}/{_BALLOTS}/batch={batch}"))
+    new = spark.read.parquet(f"{state}/{_BALLOTS}/batch={batch}")
     # A congress lasts two years: their number is small.
     touched = sorted({r[0] for r in new.select("congress").distinct().collect()} | set(also), key=str)
     here = F.col("congress").isin([c for c in touched if c is not None])
-    old = ballots_of(spark.read.parquet(path)).filter(here) if table_exists(spark, path) else new.limit(0)
+    old = spark.read.parquet(path).filter(here) if table_exists(spark, path) else new.limit(0)
     known = [c for c in touched if c is not None]
-    changed = stored(changes(old, new.filter(here)), "running_changes")
+    changed = stored(changes(old, new.filter(here), keys), "running_changes")
 
     more = summed(vote_counts(changed, [*MAJORITY_KEY, "sign"]).select(
         *MAJORITY_KEY, "party", "vote", (F.col("sign") * F.col("vote_count")).alias("vote_count")
@@ -160,14 +169,11 @@ def _add_batch(spark: SparkSession, tables: str, state: str, batch: str, also: C
     after = stored(contexts_of(spark, tables, counts, known).withColumn("sign", F.lit(1).cast("long")), "running_after")
     taken = was.withColumn("sign", -F.col("sign"))
     flips = stored(summed(after.unionByName(taken), [*ROLL, *_CONTEXT], ["sign"]), "running_contexts")
-    flipped = stored(flips.select(*ROLL).distinct(), "running_flipped")
-
-    steady = changed.join(flipped, ROLL, "left_anti")
-    theirs = old.join(flipped, ROLL, "left_semi").withColumn("sign", F.lit(1).cast("long"))
-    moved = changed.join(flipped, ROLL, "left_semi")
-    added = contributions(steady, was)
-    added = added.unionByName(contributions(theirs.withColumn("sign", F.lit(-1).cast("long")), was))
-    added = added.unionByName(contributions(theirs.unionByName(moved), after))
+
+    # New ballots in new contexts less old ones in old contexts: what changed counts in the new contexts, and
+    # what was there moves with the contexts that come and go.
+    theirs = ballots_of(old).withColumn("sign", F.lit(1).cast("long"))
+    added = contributions(changed, after).unionByName(contributions(theirs, flips))
     _write(more, state, "counts", batch)
     _write(flips, state, "contexts", batch)
     _write(summed(added, _GROUP, SUMS), state, _LAST, batch)

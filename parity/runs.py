@@ -45,7 +45,7 @@ def run_all(t: Tables) -> tuple[str, str]:
     s.bills.write.parquet(f"{tables}/dim_bills")
     model = MODELS["fact_roll_call_vote"]
     for n, (where, shift) in enumerate(RUNS):
-        ballots = shapes.fact(t.orders.filter(where), shift)
+        ballots = shapes.fact(shapes.dealt(t.orders.filter(where)), shift)
         running.apply_run(t.spark, tables, state, f"run{n}", ballots, model.keys, model.order())
     return tables, state
 

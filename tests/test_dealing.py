@@ -1,5 +1,7 @@
 """Tables that are one row group are dealt to tasks before they grow."""
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -8,8 +10,11 @@ from hemicycle.operators import page_index, text_index
 from hemicycle.operators.filters import search_text
 from hemicycle.plans import members as mem
 from hemicycle.plans.bills import dim_sponsors
+from hemicycle.plans.staging import stage_house_votes
+from hemicycle.plans.votes import dim_house_votes
 from hemicycle.session import SQL_SETTINGS
-from parity import shapes
+from parity import runs, shapes
+from parity.registry import Tables
 
 
 def test_members_are_dealt_before_their_terms_are_made(spark):
@@ -76,3 +81,29 @@ def test_sponsors_take_one_pass_over_the_bills(spark):
         found = dim_sponsors(made)
         assert rows(found) == sorted(expected, key=lambda r: [(v is None, str(v)) for v in r])
         assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+
+
+ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp_ntz"
+
+
+def test_the_ballots_of_a_run_are_dealt_before_they_are_made(spark, tmp_path, monkeypatch):
+    found = []
+    monkeypatch.setattr(runs.running, "apply_run", lambda spark, tables, state, name, ballots, *more: found.append(ballots))
+    orders = [(k, k % 5, "OFP"[k % 3], "1-URGENT", datetime.datetime(1996, 1 + k % 12, 1 + k % 28)) for k in range(40)]
+    spark.createDataFrame(orders, ORDERS).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    runs.run_all(Tables(spark, str(tmp_path)))
+    assert len(found) == 3
+    for ballots, n in zip(found, (20, 20, 15), strict=True):
+        plan = ballots._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index("Generate explode") < plan.index("RepartitionByExpression [o_orderkey")
+        assert ballots.count() == 3 * n
+
+
+def test_documents_of_a_roll_call_go_before_their_totals_are_unnested(spark):
+    orders = [(k, k, "F", "1-URGENT", datetime.datetime(1996, 1, 2)) for k in range(12)]
+    votes = stage_house_votes(shapes.house_votes(spark.createDataFrame(orders, ORDERS)))
+    found = dim_house_votes(votes)
+    assert found.count() == 1
+    lines = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    unnested = [n for n, line in enumerate(lines) if "Generate explode(totals" in line]
+    assert unnested and all(any("Aggregate" in line for line in lines[n + 1 : n + 3]) for n in unnested)

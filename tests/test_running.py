@@ -142,3 +142,16 @@ def test_roll_calls_prune_the_folders_of_the_fact(spark, folders, members):
     found = views.votes_about(fact, context, members, about)
     assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
     assert rows(found) == rows(views.votes_by_member(fact, votes, members, bills).filter(about)) and found.count() == 7
+
+
+def test_one_join_tells_what_a_run_changes(spark):
+    """Old and new ballots meet once, led by one number; a null id and a row that came back unchanged included."""
+    old = spark.createDataFrame([(118, 1, HOUSE, "k", 1, m, s, "HR1", v, "D") for m, s, v in (("M1", None, "Yea"), ("M2", None, "Yea"), (None, None, "Nay"), ("M4", "S4", "Nay"))], FACT)
+    old = old.withColumn("congress", F.col("congress").cast("int"))  # as a folder gives it
+    new = spark.createDataFrame([(118, 1, HOUSE, "k", 1, m, s, "HR1", v, "D") for m, s, v in (("M1", None, "Nay"), ("M2", None, "Yea"), (None, None, None), ("M5", None, "Yea"), ("M4", "S5", "Nay"))], FACT)
+    found = running.changes(old, new, KEYS)
+    assert rows(found.select("id", "vote", "sign")) == [
+        ("M1", "Nay", 1), ("M1", "Yea", -1), ("M4", "Nay", 1), ("M5", "Yea", 1), (None, "Nay", -1), (None, None, 1)
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "Aggregate" not in plan and "xxhash64" in plan
