@@ -37,10 +37,8 @@ def json_explode(df: DataFrame, col: str, path: str, alias: str) -> DataFrame:
 
 
 def json_list(col: Column | str, path: str, element: str) -> Column:
-    """Array of structs at ``path``; one object counts as a list of one."""
-    found = F.get_json_object(as_column(col), path)
-    listed = F.when(F.left(found, F.lit(1)) == "{", F.concat(F.lit("["), found, F.lit("]"))).otherwise(found)
-    return F.from_json(listed, f"array<{element}>")
+    """Array of structs at ``path``; one object counts as a list of one, as ``from_json`` takes it for an array of structs."""
+    return F.from_json(F.get_json_object(as_column(col), path), f"array<{element}>")
 
 
 def parse_parts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +70,40 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def files_of(spark: SparkSession, path: str):
+    """The file system of a path, and a maker of its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), make
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Writes in this block delete their shuffle files as they end.
+
+    Else the files stay until the driver happens to collect its memory, and add up over the writes of a run.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+@contextmanager
+def briefly_stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """:func:`stored` for a block: the files are deleted as it ends, however it ends."""
+    path = scratch_path(df.sparkSession, label)
+    files, make = files_of(df.sparkSession, path)
+    try:
+        with shuffles_dropped(df.sparkSession):
+            df.write.parquet(path)
+        yield df.sparkSession.read.parquet(path)
+    finally:
+        files.delete(make(path), True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back.
 

@@ -14,6 +14,8 @@ from hemicycle.sources.names import clean_names
 #: Landing folder names.
 BILLS, HOUSE_VOTES, SENATE_VOTES = "bill_status", "house_votes", "senate_votes"
 MEMBERS, SENATE_IDS = "members", "senate_ids"
+#: Names of landing files, plain or compressed.
+LANDING_FILES = "*.json{,.gz}"
 
 _ROLL_TAGS = {"rollcall-vote": ("house", "rollcall_vote", HOUSE), "roll_call_vote": ("senate", "roll_call_vote", SENATE)}
 
@@ -130,7 +132,7 @@ def read_ndjson(spark: SparkSession, root: str, kind: str, run_date: str | None
         spark.read.schema(schemas.landing_schema(kind))
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", LANDING_FILES)
         .json(folder)
     )
 

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hemicycle.functions.votes import HOUSE, SENATE
+from hemicycle.session import shuffles_dropped
 
 #: Rows per landing file.
 ROWS_PER_FILE = 250
+#: How landing files are packed; their lines are alike and shrink to a tenth. ``none`` gives plain files.
+COMPRESSION = "gzip"
 #: Tables that are exported for the dashboard.
 EXPORTED = (
     "vw_votes_by_member", "vw_sponsored_bills_by_member", "vw_voting_members", "vw_terms_condensed",
@@ -20,8 +23,9 @@ EXPORTED = (
 
 
 def write_ndjson(df: DataFrame, path: str, max_records: int = ROWS_PER_FILE) -> None:
-    """Newline JSON, at most ``max_records`` rows per file; tasks write side by side."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", max_records).json(path)
+    """Newline JSON, at most ``max_records`` rows per file, compressed; tasks write side by side."""
+    with shuffles_dropped(df.sparkSession):
+        df.write.mode("overwrite").options(maxRecordsPerFile=max_records, compression=COMPRESSION).json(path)
 
 
 def write_run(df: DataFrame, path: str, run_date: datetime.date | str, max_records: int = ROWS_PER_FILE) -> None:

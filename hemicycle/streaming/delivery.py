@@ -27,7 +27,7 @@ def landing_stream(spark: SparkSession, landing: str, kind: str, max_files: int
         spark.readStream.schema(schemas.landing_schema(kind))
         .option("mode", "FAILFAST")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", readers.LANDING_FILES)
         .option("maxFilesPerTrigger", max_files)
         .json(f"{landing.rstrip('/')}/{kind}")
     )
