@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
+from contextlib import nullcontext
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -11,13 +12,16 @@ from pyspark.sql import functions as F
 
 from hemicycle.functions.dates import iso_instant, stated_instant
 from hemicycle.operators.dedupe import top_per_group
-from hemicycle.session import stored
+from hemicycle.session import briefly_stored, files_of, shuffles_dropped
 
 #: Mark of an empty or missing table, and the last year a former member may have left.
 DEFAULT_MARK = "2015-01-01T00:00:00Z"
 MEMBER_YEAR_LIMIT = 2015
 #: Load-time stamps an update leaves alone.
 AUDIT_COLUMNS = ("flowDate", "updateDatetime")
+#: Rows of table and source that one write of an upsert into folders takes, unless a single folder has more.
+#: Bounds the shuffle files that are on the disks at a time, some 100 bytes a row.
+ROWS_PER_WRITE = 32_000_000
 
 
 def unique_source(source: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
@@ -124,7 +128,8 @@ def upsert_table(
     """Upsert into a Parquet table, made on first use.
 
     With ``partition_by`` (one of the keys) only the folders the source touches are read
-    and rewritten. The merged rows are written beside the table (``<path>.writing``), named
+    and rewritten, as many at a time as hold :data:`ROWS_PER_WRITE` rows. The merged rows are
+    written beside the table (``<path>.writing``), named
     ``<path>.ready`` once complete, and only then take the place of what they replace. A job that
     dies before that leaves the table as it was; one that dies after it is finished by the next
     call. Needs a file system that renames folders at once. ``unique`` says that the source is
@@ -133,31 +138,53 @@ def upsert_table(
     if partition_by and partition_by not in keys:
         raise ValueError("partition_by must be part of the key")
     new = source if unique else unique_source(source, keys, order)
-    if table_exists(spark, path):
-        target = spark.read.parquet(path)
-        if partition_by:
-            # Written once, as both the folders and the rows are taken from it. At most one value per
-            # folder comes to the driver; the filter prunes folders.
-            new = new if unique else stored(new, "upsert_source")
-            touched = [r[0] for r in new.select(partition_by).distinct().collect()]
-            known = F.col(partition_by).isin([v for v in touched if v is not None])
-            target = target.filter(known | F.col(partition_by).isNull() if None in touched else known)
-        rows = _merged(target, new, keys, exclude, version)
-    else:
-        rows = new
-    if partition_by:
-        # No task writes to every folder; a folder that is too large is split.
-        rows.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(f"{path}.writing")
-    else:
-        rows.write.mode("overwrite").parquet(f"{path}.writing")
+    target = spark.read.parquet(path) if table_exists(spark, path) else None
+    with shuffles_dropped(source.sparkSession):
+        if target is None:
+            _write(new, f"{path}.writing", partition_by)
+        elif not partition_by:
+            _write(_merged(target, new, keys, exclude, version), f"{path}.writing")
+        else:
+            # Written once, as both the folders and the rows are taken from it.
+            with nullcontext(new) if unique else briefly_stored(new, "upsert_source") as kept:
+                # The folder as the table names it; at most one value per folder comes to the driver.
+                place = F.col(partition_by).cast(target.schema[partition_by].dataType)
+                touched = dict(kept.groupBy(place.alias(partition_by)).count().collect())
+                there = _within(target, F.col(partition_by), touched)
+                held = dict(there.groupBy(partition_by).count().collect())
+                groups = packed({v: n + held.get(v, 0) for v, n in touched.items()}, ROWS_PER_WRITE)
+                for number, values in enumerate(groups or [[]]):
+                    old, given = _within(target, F.col(partition_by), values), _within(kept, place, values)
+                    merged = _merged(old, given, keys, exclude, version)
+                    _write(merged, f"{path}.writing", partition_by, "append" if number else "overwrite", len(values) > 1)
     rename(spark, f"{path}.writing", f"{path}.ready")
     _finish(spark, path)
 
 
-def files_of(spark: SparkSession, path: str):
-    """The file system of a path, and a maker of its paths."""
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), make
+def packed(sizes: Mapping, most: int) -> list[list]:
+    """The keys in groups whose sizes come to ``most`` at most; a key beyond that is a group of its own."""
+    groups, room = [], 0
+    for key in sorted(sizes, key=sizes.get):
+        if not groups or sizes[key] > room:
+            groups.append([])
+            room = most
+        groups[-1].append(key)
+        room -= sizes[key]
+    return groups
+
+
+def _within(df: DataFrame, folder: Column, values: Collection) -> DataFrame:
+    """The rows of some folders; of a partitioned table no other folder is read."""
+    known = folder.isin([v for v in values if v is not None])
+    return df.filter(known | folder.isNull() if None in values else known)
+
+
+def _write(rows: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite", spread: bool = True) -> None:
+    """With ``spread`` no task writes to every folder and a folder that is too large is split; rows of one folder need not move."""
+    if not partition_by:
+        rows.write.mode(mode).parquet(path)
+        return
+    (rows.hint("rebalance", partition_by) if spread else rows).write.mode(mode).partitionBy(partition_by).parquet(path)
 
 
 def rename(spark: SparkSession, old: str, new: str) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hemicycle.operators.merge import table_exists
 from hemicycle.plans import pipeline
-from hemicycle.session import stored
+from hemicycle.session import briefly_stored
 from hemicycle.sources import readers, schemas
 
 #: Files of a micro-batch at most; bounds what a run that died has to do again.
@@ -39,7 +39,8 @@ def take_new(stream: DataFrame, checkpoint: str, store: Callable[[DataFrame, int
 
     def each(batch: DataFrame, number: int) -> None:
         # Written once: every model of the kind reads it.
-        store(stored(batch, "delivery"), number)
+        with briefly_stored(batch, "delivery") as rows:
+            store(rows, number)
         taken.append(number)
 
     query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -6,7 +6,10 @@ import time
 
 from conftest import rows
 from hemicycle.functions.json import json_list
+from hemicycle.operators import merge
+from hemicycle.plans import pipeline
 from hemicycle.plans.extras import structured_bills
+from hemicycle.session import checkpoint_root
 from hemicycle.sources import readers, sinks
 from hemicycle.streaming import delivery
 from parity import shapes
@@ -40,6 +43,10 @@ def none_left(spark, before):
     return not shuffle_files(spark) - before
 
 
+def scratch(spark, label):
+    return [f for f in os.listdir(checkpoint_root(spark).removeprefix("file:")) if f.startswith(f"{label}-")]
+
+
 def test_landing_files_are_packed(spark, tmp_path):
     bills = structured_bills(shapes.bills(orders(spark, 600)))
     before = shuffle_files(spark)
@@ -73,3 +80,57 @@ def test_one_object_is_a_list_of_one(spark):
     # The path is looked up once for each value, not for each branch.
     plan = df.select(json_list("t", "$", "struct<a:string>").alias("l"))._jdf.queryExecution().analyzed().toString()
     assert plan.count("get_json_object") == 1
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, "congress int, k string, v string")
+
+
+def test_folders_are_merged_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    """The same table whatever a write takes; rows with null keys, folders only one side has."""
+    first = [(c, f"k{n}", "old") for c in (1, 2, 3, None) for n in range(4)] + [(9, "k0", "old"), (3, None, "old")]
+    second = [(c, f"k{n}", "new") for c in (1, 2, 3, 4, None) for n in (3, 4)] + [(3, None, "new"), (4, "k9", "new")]
+    written, plain, found = [], merge._write, {}
+
+    def noted(*more):
+        written.append(more)
+        plain(*more)
+
+    monkeypatch.setattr(merge, "_write", noted)
+    for most in (merge.ROWS_PER_WRITE, 7):
+        monkeypatch.setattr(merge, "ROWS_PER_WRITE", most)
+        path = f"{tmp_path}/{most}"
+        merge.upsert_table(spark, path, frame(spark, first), ["congress", "k"], partition_by="congress")
+        written.clear()
+        before = shuffle_files(spark)
+        merge.upsert_table(spark, path, frame(spark, second), ["congress", "k"], partition_by="congress")
+        assert none_left(spark, before) and not scratch(spark, "upsert_source")
+        spark.catalog.refreshByPath(path)
+        found[most] = rows(spark.read.parquet(path).select("congress", "k", "v"))
+        assert len(written) == (1 if most > 7 else 5)
+        # No row, so nothing to write.
+        merge.upsert_table(spark, path, frame(spark, []), ["congress", "k"], partition_by="congress")
+        spark.catalog.refreshByPath(path)
+        assert rows(spark.read.parquet(path).select("congress", "k", "v")) == found[most]
+    expected = {(c, k): v for c, k, v in [*first, *second]}
+    for got in found.values():
+        assert got == sorted([(c, k, v) for (c, k), v in expected.items()], key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def test_packed_groups():
+    assert merge.packed({"a": 5, "b": 1, None: 2, "c": 9}, 4) == [["b", None], ["a"], ["c"]]
+    assert merge.packed({"a": 2, "b": 2, "c": 1}, 3) == [["c", "a"], ["b"]]
+    assert merge.packed({}, 3) == []
+
+
+def test_a_delivery_leaves_no_scratch_files(spark, tmp_path):
+    landing, tables = f"{tmp_path}/landing", f"{tmp_path}/tables"
+    for day in (1, 2):
+        sinks.write_run(shapes.house_votes(orders(spark, 30 * day)), f"{landing}/{readers.HOUSE_VOTES}", f"2024-05-0{day}")
+        before = shuffle_files(spark)
+        assert delivery.deliver(spark, landing, "", tables, f"{tmp_path}/marks", kinds=(readers.HOUSE_VOTES,)) == {readers.HOUSE_VOTES: 1}
+        assert not scratch(spark, "delivery") and not scratch(spark, "upsert_source")
+        assert none_left(spark, before)
+    keys = pipeline.MODELS[pipeline.FACT].keys
+    expected = shapes.fact(orders(spark, 60)).filter("bioguideID is not null").select(*keys).distinct()
+    assert rows(spark.read.parquet(f"{tables}/{pipeline.FACT}").select(*keys)) == rows(expected)
